@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 # Short month names of the report's locale, January to December.
@@ -74,13 +74,17 @@ class ReportConfig:
     surplus_label: str = "SURPLUS"
     month_labels: tuple[str, ...] = MONTH_LABELS
     money: MoneyStyle = BRL
-    surplus_money: MoneyStyle = BRL_INNER
+    surplus_negative: str = "inner"
     missing_as_zero: bool = False
 
     def __post_init__(self) -> None:
         if len(self.month_labels) != 12 or len(set(self.month_labels)) != 12:
             raise ValueError("month_labels must hold twelve different names")
 
+    @property
+    def surplus_money(self) -> MoneyStyle:
+        return replace(self.money, negative=self.surplus_negative)
+
     @property
     def revenue_labels(self) -> list[str]:
         return list(dict.fromkeys(label_text(a) for a in self.revenue_accounts))

@@ -14,17 +14,24 @@ from ledgerloom.config import BRL, MONEY, MoneyStyle
 WHITE_SPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
-def format_money(amount: Column, style: MoneyStyle = BRL) -> Column:
+def format_money(
+    amount: Column, style: MoneyStyle = BRL, inner_if: Column | None = None
+) -> Column:
     """Amount as text; NULL stays NULL. Rounds half up to cents, and takes the sign after
-    rounding, so -0.004 has none. Give decimals: a double loses cents at 17 digits."""
+    rounding, so -0.004 has none. Give decimals: a double loses cents at 17 digits.
+
+    ``inner_if`` chooses the place of the minus row by row instead of ``style.negative``.
+    """
     cents = F.round(amount, 2)
     digits = F.translate(
         F.format_number(F.abs(cents), 2), ",.", style.thousands + style.decimal
     )
-    sign = F.when(cents < 0, "-").otherwise("")
-    if style.negative == "inner":
-        return F.concat(F.lit(style.symbol), sign, digits)
-    return F.concat(sign, F.lit(style.symbol), digits)
+    outer, inner = F.lit("-" + style.symbol), F.lit(style.symbol + "-")
+    if inner_if is not None:
+        negative = F.when(inner_if, inner).otherwise(outer)
+    else:
+        negative = inner if style.negative == "inner" else outer
+    return F.concat(F.when(cents < 0, negative).otherwise(style.symbol), digits)
 
 
 def parse_money(text: Column) -> Column:

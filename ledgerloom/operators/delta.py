@@ -55,19 +55,17 @@ def totals_of_matrices(
 
     Done by grouping tagged rows, not by joining: an entity (or the excluded account)
     missing on one side leaves NULLs, a NULL entity key is an entity like any other, and
-    without keys there is always one row. At most three rows per entity move.
+    without keys there is always one row.
     """
     is_total = F.col("row_type") == "total"
     part = F.when(is_total, "revenue")
     if cfg.excluded_label is not None:
         part = part.when(F.col("label") == cfg.excluded_label, "excluded")
     months = cfg.month_labels
-    tagged = (
-        revenue.select(*keys, part.alias("part"), *months)
-        .where(F.col("part").isNotNull())
-        .unionByName(
-            expense.where(is_total).select(*keys, F.lit("expense").alias("part"), *months)
-        )
+    # Untagged revenue rows are left to the aggregate, which skips them: filtered out here, they
+    # would part the ways of detail and total rows down at the ledger, and scan it twice.
+    tagged = revenue.select(*keys, part.alias("part"), *months).unionByName(
+        expense.where(is_total).select(*keys, F.lit("expense").alias("part"), *months)
     )
     return tagged.groupBy(*keys).agg(*[
         F.max(F.when(F.col("part") == p, F.col(name))).alias(f"{p}_{name}")

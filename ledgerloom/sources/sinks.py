@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.config import ReportConfig
@@ -49,45 +49,60 @@ def write_report(
 
 def bundle_text(bundle: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Amounts as text: matrices in the report's style, differences in the surplus style."""
-    is_surplus = F.col("section") == "surplus"
-
-    def money(name: str) -> Column:
-        return F.when(is_surplus, format_money(F.col(name), cfg.surplus_money)).otherwise(
-            format_money(F.col(name), cfg.money)
-        )
-
+    inner = F.when(F.col("section") == "surplus", F.lit(cfg.surplus_negative)).otherwise(
+        F.lit(cfg.money.negative)
+    ) == "inner"
     text = {
         name: F.concat(
-            money(name), F.when(F.col("forecast_month") == number, FORECAST_MARK).otherwise("")
+            format_money(F.col(name), cfg.money, inner),
+            F.when(F.col("forecast_month") == number, FORECAST_MARK).otherwise(""),
         )
         for number, name in enumerate(cfg.month_labels, 1)
     }
-    return bundle.withColumns({**text, "total": money("total")}).drop("forecast_month")
+    return bundle.withColumns({**text, "total": format_money(F.col("total"), cfg.money, inner)}).drop(
+        "forecast_month"
+    )
 
 
 def document_lines(
     bundle: DataFrame, cfg: ReportConfig, keys: Sequence[str] = ()
 ) -> DataFrame:
     """HTML lines: [keys], section, rank, label, html. Sorted by rank and label, a section's
-    lines are its table. The table's opening line has rank 0; the last row closes it."""
+    lines are its table. The table's opening line has rank 0; the last row closes it.
+
+    ``keys`` may name any columns to take along.
+    """
     columns = ["label", *cfg.month_labels, "total"]
     heading = html_row([F.lit(c) for c in columns], "th")
-    opening = F.concat(F.lit("<table border=\"1\"><thead>"), heading, F.lit("</thead><tbody>"))
-    row = html_row([F.col(c) for c in columns])
+    opening = F.concat(F.lit('<table border="1"><thead>'), heading, F.lit("</thead><tbody>"))
 
-    last_surplus = F.lit(1 if cfg.excluded_label is None else 2)
+    # Every section has exactly one closing row, which also brings the opening line.
+    last_surplus = 1 if cfg.excluded_label is None else 2
     closes = F.when(F.col("section") == "surplus", F.col("rank") == last_surplus).otherwise(
         F.col("row_type") == "total"
     )
-    # Every section has exactly one closing row, which also brings the opening line.
-    line = F.struct(
-        F.col("rank"),
-        F.col("label"),
-        F.concat(row, F.when(closes, "</tbody></table>").otherwise("")).alias("html"),
-    )
-    first = F.struct(F.lit(0).alias("rank"), F.lit("").alias("label"), opening.alias("html"))
-    return bundle_text(bundle, cfg).select(
-        *keys, "section", F.inline(F.when(closes, F.array(first, line)).otherwise(F.array(line)))
+    copies = F.when(closes, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    opens = F.col("opens")
+    return (
+        bundle_text(bundle, cfg)
+        .select(
+            *keys,
+            "section",
+            "rank",
+            "label",
+            F.concat(
+                html_row([F.col(c) for c in columns]),
+                F.when(closes, "</tbody></table>").otherwise(""),
+            ).alias("html"),
+            F.explode(copies).alias("opens"),
+        )
+        .select(
+            *keys,
+            "section",
+            F.when(opens, 0).otherwise(F.col("rank")).alias("rank"),
+            F.when(opens, "").otherwise(F.col("label")).alias("label"),
+            F.when(opens, opening).otherwise(F.col("html")).alias("html"),
+        )
     )
 
 
@@ -100,16 +115,16 @@ def report_documents(
     """HTML tables with subject and introduction:
     [keys], section, part_rank, part_label, title, subject, intro, html.
 
-    A section of up to ``max_rows`` lines is one row (part 0). The number of expense
+    A section of up to ``max_rows`` rows is one document (part 0). The number of expense
     accounts of an entity has no bound, so a longer section is not gathered in one task:
     its lines stay rows of their own, in order of (part_rank, part_label). Either way the
     joined ``html`` of a section is its whole table.
     """
     group = [*keys, "section"]
-    lines = document_lines(bundle, cfg, keys)
-    # At most one row in ``max_rows`` gets here, so adaptive execution can broadcast it.
+    # At most one section in ``max_rows`` rows gets here, so adaptive execution can broadcast
+    # them or, as a rule, drop the join. It comes before the rows grow into HTML.
     long = (
-        lines.groupBy(*group)
+        bundle.groupBy(*group)
         .agg(F.count("*").alias("__n"))
         .where(F.col("__n") > max_rows)
         .select(*[F.col(c).alias(f"__{c}") for c in group])
@@ -117,11 +132,11 @@ def report_documents(
     on = F.lit(True)
     for c in group:
         on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    is_long = F.col("__section").isNotNull()
-    parts = lines.join(long, on, "left").select(
+    rows = bundle.join(long, on, "left").withColumn("__long", F.col("__section").isNotNull())
+    parts = document_lines(rows, cfg, [*keys, "__long"]).select(
         *group,
-        F.when(is_long, F.col("rank")).otherwise(0).alias("part_rank"),
-        F.when(is_long, F.col("label")).otherwise("").alias("part_label"),
+        F.when(F.col("__long"), F.col("rank")).otherwise(0).alias("part_rank"),
+        F.when(F.col("__long"), F.col("label")).otherwise("").alias("part_label"),
         F.struct("rank", "label", "html").alias("line"),
     )
     as_of = day_text(F.lit(cfg.as_of))
