@@ -12,9 +12,11 @@ MONTH_LABELS = (
 )
 
 # Decimal type of every sum. Postings are DECIMAL(18,2); Spark widens their sum to this.
-AMOUNT = "decimal(18,2)"
 MONEY = "decimal(28,2)"
 
+# The three tables of a report, in the order they are delivered.
+SECTIONS = ("expense", "revenue", "surplus")
+
 
 def label_text(label: str) -> str:
     """Python twin of ``functions.text.label_key``, for labels given in settings."""
@@ -76,6 +78,11 @@ class ReportConfig:
     money: MoneyStyle = BRL
     surplus_negative: str = "inner"
     missing_as_zero: bool = False
+    section_titles: tuple[str, str, str] = (
+        "Expense by month", "Revenue by month", "Surplus by month"
+    )
+    subject: str = "Budget preview - "
+    intro: str = "Expense and revenue as of "
 
     def __post_init__(self) -> None:
         if len(self.month_labels) != 12 or len(set(self.month_labels)) != 12:

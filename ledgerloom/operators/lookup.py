@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Up to this many entries the table becomes a CASE inside the row expression; above, a join.
 INLINE_ENTRIES = 64
-# Up to this many entries the joined table is broadcast; above, Spark chooses.
-BROADCAST_ENTRIES = 100_000
 
 
 def lookup(
@@ -22,7 +21,8 @@ def lookup(
 ) -> DataFrame:
     """Add column ``name``: the ``table`` value for the texts in ``keys``, else ``default``.
 
-    ``table`` comes from settings, so its size is known here and never depends on the data.
+    ``table`` comes from settings, so its size never depends on the data. A joined table is a
+    local relation of known size: Spark broadcasts it if it is below its own threshold.
     """
     if not table:
         return df.withColumn(name, default)
@@ -36,11 +36,13 @@ def lookup(
         return df.withColumn(name, value.otherwise(default))
 
     entry_names = [f"__key_{i}" for i in range(len(keys))]
-    value_type = "int" if all(isinstance(v, int) for v in table.values()) else "string"
-    schema = ", ".join([*(f"{n} string" for n in entry_names), f"__found {value_type}"])
-    entries = df.sparkSession.createDataFrame([(*k, v) for k, v in table.items()], schema)
-    if len(table) <= BROADCAST_ENTRIES:
-        entries = F.broadcast(entries)
+    columns = [pa.array(texts, pa.string()) for texts in zip(*table)]
+    found = pa.array(list(table.values()))
+    if pa.types.is_integer(found.type):
+        found = found.cast(pa.int32())
+    entries = df.sparkSession.createDataFrame(
+        pa.table([*columns, found], names=[*entry_names, "__found"])
+    )
     on = keys[0] == F.col(entry_names[0])
     for key, entry_name in zip(keys[1:], entry_names[1:]):
         on = on & (key == F.col(entry_name))

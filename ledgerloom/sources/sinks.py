@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.config import ReportConfig
+from ledgerloom.config import SECTIONS, ReportConfig
 from ledgerloom.functions.dates import day_text
 from ledgerloom.functions.money import format_money
 from ledgerloom.functions.text import html_row
@@ -15,12 +15,6 @@ from ledgerloom.operators.matrix import FORECAST_MARK
 
 DOCUMENT_ROWS = 5_000
 
-SECTION_TITLES = {
-    "expense": "Expense by month",
-    "revenue": "Revenue by month",
-    "surplus": "Surplus by month",
-}
-
 
 def write_report(
     bundle: DataFrame,
@@ -33,8 +27,9 @@ def write_report(
     """Write a bundle (or its documents), one folder per year and section.
 
     No shuffle precedes the write; each task splits its rows by section. With dynamic
-    partition overwrite a re-run replaces its own year only. Entity keys of few values may
-    be added in ``partition_by``; as folders, many values would mean many small files.
+    partition overwrite a re-run replaces the folders it writes, so its own year only.
+    Entity keys of few values may be added in ``partition_by``; as folders, many values would
+    mean many small files, and an entity gone since the last run keeps its old folder.
     """
     (
         bundle.withColumn("report_year", F.lit(cfg.year))
@@ -141,7 +136,7 @@ def report_documents(
     )
     as_of = day_text(F.lit(cfg.as_of))
     title = F.lit(None).cast("string")
-    for section, text in SECTION_TITLES.items():
+    for section, text in zip(SECTIONS, cfg.section_titles):
         title = F.when(F.col("section") == section, text).otherwise(title)
     return (
         parts.groupBy(*group, "part_rank", "part_label")
@@ -151,8 +146,8 @@ def report_documents(
             "part_rank",
             "part_label",
             title.alias("title"),
-            F.concat(F.lit("Budget preview - "), as_of).alias("subject"),
-            F.concat(F.lit("Expense and revenue as of "), as_of).alias("intro"),
+            F.concat(F.lit(cfg.subject), as_of).alias("subject"),
+            F.concat(F.lit(cfg.intro), as_of).alias("intro"),
             "html",
         )
     )

@@ -112,20 +112,26 @@ def test_money_is_codegen_only(spark, stored):
     assert "Python" not in plan and re.search(r"\*\(\d+\) Project", plan)
 
 
-def test_large_settings_are_broadcast_only_below_a_size(spark, monkeypatch):
+def test_large_settings_are_broadcast_only_below_the_threshold(spark, monkeypatch):
     df = spark.range(10).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
     table = {(f"k{i}",): i for i in range(0, 200, 2)}
 
     def looked_up():
         return lookup_module.lookup(df, [F.col("k")], table, "v", F.lit(-1))
 
-    plan = run_plan(looked_up())
-    assert "BroadcastHashJoin" in plan
+    def planned(df_):
+        return df_._jdf.queryExecution().sparkPlan().toString()
+
+    plan = planned(looked_up())
+    assert "BroadcastHashJoin" in plan and "ExistingRDD" not in plan
     expected = sorted(looked_up().collect())
-    monkeypatch.setattr(lookup_module, "BROADCAST_ENTRIES", 10)
-    hints = looked_up()._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in hints and "broadcast" not in hints.lower()
-    assert sorted(looked_up().collect()) == expected
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert "SortMergeJoin" in planned(looked_up())
+        assert sorted(looked_up().collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     monkeypatch.setattr(lookup_module, "INLINE_ENTRIES", 1000)
+    assert "Join" not in planned(looked_up())
     assert sorted(looked_up().collect()) == expected
-    assert "Join" not in run_plan(looked_up())
