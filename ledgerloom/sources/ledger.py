@@ -24,7 +24,7 @@ def as_ledger(
     """Project ``df`` onto the ledger schema plus entity ``keys``.
 
     ``columns`` maps ledger names to the source's own. Missing columns are an error; types
-    are cast, so a value that does not fit fails the job instead of becoming NULL.
+    are cast; in ANSI mode, Spark's default, a value that does not fit fails the job.
     """
     columns = dict(columns or {})
     names = {f.name: columns.get(f.name, f.name) for f in LEDGER_SCHEMA.fields}
@@ -47,17 +47,20 @@ def read_ledger(
     keys: Sequence[str] = (),
     **options: str,
 ) -> DataFrame:
-    """Ledger from files. Partition them by posting date, month or year to prune the scan."""
+    """Ledger from files. Partition them by posting date, month or year to prune the scan.
+
+    CSV files need a header, and columns are found by its names. JSON is read with a stated
+    schema, which spares a pass over the data; a field it lacks is NULL.
+    """
     reader = spark.read.format(fmt).options(**options)
-    if fmt in ("csv", "json"):
+    if fmt == "csv":
+        reader = reader.option("header", "true")
+    elif fmt == "json":
         source = dict(columns or {})
-        schema = T.StructType([
-            T.StructField(source.get(f.name, f.name), f.dataType) for f in LEDGER_SCHEMA.fields
-        ] + [T.StructField(source.get(k, k), T.StringType()) for k in keys])
-        reader = reader.schema(schema)
-        if fmt == "csv":
-            # With the header honoured, columns are matched by name rather than by place.
-            reader = reader.option("header", "true").option("enforceSchema", "false")
+        reader = reader.schema(T.StructType([
+            *(T.StructField(source.get(f.name, f.name), f.dataType) for f in LEDGER_SCHEMA.fields),
+            *(T.StructField(source.get(k, k), T.StringType()) for k in keys),
+        ]))
     return as_ledger(reader.load(path), columns, keys)
 
 
