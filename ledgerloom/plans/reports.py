@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.config import MONEY, ReportConfig, label_text
@@ -29,45 +29,51 @@ from ledgerloom.operators.matrix import (
 def account_months(
     ledger: DataFrame, cfg: ReportConfig, keys: Sequence[str], kinds: Sequence[str]
 ) -> DataFrame:
-    """[keys], kind, account, months, forecast_month, total.
+    """[keys], is_revenue, account, months, forecast_month, total.
 
     Revenue outside the listed accounts keeps neither account nor amount: it folds into one
     empty row per entity with a NULL total, which holds the entity's place in the totals.
     """
-    revenue, expense = label_text(cfg.revenue_kind), label_text(cfg.expense_kind)
-    wanted = [label_text(k) for k in kinds]
+    wanted = {label_text(k) for k in kinds}
+    revenue = label_text(cfg.revenue_kind)
     has_revenue = revenue in wanted
-    is_revenue = F.col("kind") == revenue
+    # For a single kind a constant, which Catalyst takes out of the grouping.
+    is_revenue = F.lit(has_revenue) if len(wanted) == 1 else label_key(F.col("kind")) == revenue
 
-    source = [*keys, label_key(F.col("kind")).alias("kind"), label_key(F.col("account")).alias("account")]
+    source = [*keys, is_revenue.alias("is_revenue"), label_key(F.col("account")).alias("account")]
     if has_revenue and cfg.reclass:
         source.append("sub_code")
-    postings = year_kind_filter(ledger, cfg.year, wanted).select(
+    postings = year_kind_filter(ledger, cfg.year, sorted(wanted)).select(
         *source, F.month("entry_date").alias("month"), "amount"
     )
     if has_revenue:
-        postings = reclassify(postings, cfg.reclass_targets, is_revenue if expense in wanted else None)
-        kept = ~is_revenue | F.col("account").isin(cfg.revenue_labels)
+        postings = reclassify(postings, cfg.reclass_targets, F.col("is_revenue"))
+        kept = ~F.col("is_revenue") | F.col("account").isin(cfg.revenue_labels)
         postings = postings.withColumns({
             "account": F.when(kept, F.col("account")),
             "amount": F.when(kept, F.col("amount")),
         })
 
-    wide = month_pivot(postings, [*keys, "kind", "account"], cfg.month_labels)
-    wide = carry_month(wide, cfg, is_revenue)
+    wide = month_pivot(postings, [*keys, "is_revenue", "account"], cfg.month_labels)
+    wide = carry_month(wide, cfg, F.col("is_revenue"))
     months = [F.col(m) for m in cfg.month_labels]
-    return wide.withColumn("total", F.when(~is_revenue | any_value(months), row_total(months)))
+    shown = ~F.col("is_revenue") | any_value(months)
+    return wide.withColumn("total", F.when(shown, row_total(months)))
 
 
-def _details(wide: DataFrame, cfg: ReportConfig, keys: Sequence[str], *extra: Column) -> DataFrame:
-    ranks = {(label_text(cfg.revenue_kind), a): i for i, a in enumerate(cfg.revenue_labels, 1)}
-    ranks |= {(label_text(cfg.expense_kind), a): i for i, a in enumerate(cfg.expense_labels, 1)}
-    shown = wide.where(F.col("total").isNotNull())
+def _details(wide: DataFrame, cfg: ReportConfig, keys: Sequence[str]) -> DataFrame:
+    ranks = {("revenue", a): i for i, a in enumerate(cfg.revenue_labels, 1)}
+    ranks |= {("expense", a): i for i, a in enumerate(cfg.expense_labels, 1)}
+    section = F.when(F.col("is_revenue"), "revenue").otherwise("expense")
     return lookup(
-        shown, [F.col("kind"), F.col("account")], ranks, "rank", F.lit(cfg.unlisted_rank)
+        wide.where(F.col("total").isNotNull()).withColumn("section", section),
+        [F.col("section"), F.col("account")],
+        ranks,
+        "rank",
+        F.lit(cfg.unlisted_rank),
     ).select(
         *keys,
-        *extra,
+        "section",
         F.lit("detail").alias("row_type"),
         F.col("account").alias("label"),
         "rank",
@@ -87,7 +93,7 @@ def _matrix(wide: DataFrame, cfg: ReportConfig, keys: Sequence[str]) -> DataFram
         *amounts,
         F.lit(None).cast("int").alias("forecast_month"),
     )
-    return _details(wide, cfg, keys).unionByName(total)
+    return _details(wide, cfg, keys).drop("section").unionByName(total)
 
 
 def revenue_matrix(ledger: DataFrame, cfg: ReportConfig, keys: Sequence[str] = ()) -> DataFrame:
@@ -110,12 +116,11 @@ def surplus(
 
 def _entity_totals(wide: DataFrame, cfg: ReportConfig, keys: Sequence[str]) -> DataFrame:
     """One row per entity: every total and the excluded account, from one aggregate."""
-    is_revenue = F.col("kind") == label_text(cfg.revenue_kind)
-    is_expense = F.col("kind") == label_text(cfg.expense_kind)
+    is_revenue = F.col("is_revenue")
     is_excluded = is_revenue & (F.col("account") == F.lit(cfg.excluded_label).cast("string"))
     return wide.groupBy(*keys).agg(*[
         F.sum(F.when(chosen, F.col(name))).cast(MONEY).alias(f"{part}_{name}")
-        for part, chosen in zip(PARTS, (is_revenue, is_expense, is_excluded))
+        for part, chosen in zip(PARTS, (is_revenue, ~is_revenue, is_excluded))
         for name in [*cfg.month_labels, "total"]
     ])
 
@@ -133,8 +138,7 @@ def report_bundle(ledger: DataFrame, cfg: ReportConfig, keys: Sequence[str] = ()
     total, forecast_month. Each entity with a posting in the year gets all three sections.
     """
     wide = account_months(ledger, cfg, keys, [cfg.revenue_kind, cfg.expense_kind])
-    section = F.when(F.col("kind") == label_text(cfg.revenue_kind), "revenue").otherwise("expense")
-    details = _details(wide, cfg, keys, section.alias("section"))
+    details = _details(wide, cfg, keys)
 
     amounts = [*cfg.month_labels, "total"]
     no_forecast = F.lit(None).cast("int").alias("forecast_month")
