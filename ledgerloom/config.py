@@ -38,6 +38,8 @@ class MoneyStyle:
             raise ValueError(f"negative must be 'outer' or 'inner', got {self.negative!r}")
         if len(self.thousands) != 1 or len(self.decimal) != 1:
             raise ValueError("separators must be single characters")
+        if not {self.thousands, self.decimal}.isdisjoint("&<>"):
+            raise ValueError("separators must not be HTML signs")
 
 
 BRL = MoneyStyle()

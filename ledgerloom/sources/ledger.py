@@ -81,24 +81,30 @@ def jdbc_ledger_options(
     partitions: int,
     columns: Mapping[str, str] | None = None,
     keys: Sequence[str] = (),
+    split_on: tuple[str, str, str] | None = None,
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
     """Options of a parallel database read of one year, split on the posting date.
 
     Only the needed columns and the year's rows leave the database: they are named in the
-    sub-select, which Spark takes as its table (a plain query cannot be split).
+    sub-select, which Spark takes as its table (a plain query cannot be split). Where a few
+    dates hold much of the year, give ``split_on``, an evenly spread number or date with its
+    bounds: ('posting_id', '1', '9000000'). Rows beyond the bounds are still read.
     """
     columns = dict(columns or {})
     day = columns.get("entry_date", "entry_date")
     names = [columns.get(n, n) for n in [*LEDGER_SCHEMA.fieldNames(), *keys]]
+    if split_on is not None and split_on[0] not in names:
+        names.append(split_on[0])
     first, following = date(year, 1, 1).isoformat(), date(year + 1, 1, 1).isoformat()
+    column, lower, upper = split_on or (day, first, following)
     return {
         "url": url,
         "dbtable": f"(SELECT {', '.join(names)} FROM {table} "
         f"WHERE {day} >= '{first}' AND {day} < '{following}') postings",
-        "partitionColumn": day,
-        "lowerBound": first,
-        "upperBound": following,
+        "partitionColumn": column,
+        "lowerBound": lower,
+        "upperBound": upper,
         "numPartitions": str(partitions),
         "fetchsize": str(fetch_size),
     }
@@ -112,10 +118,11 @@ def read_ledger_jdbc(
     partitions: int,
     columns: Mapping[str, str] | None = None,
     keys: Sequence[str] = (),
+    split_on: tuple[str, str, str] | None = None,
     **options: str,
 ) -> DataFrame:
     """Ledger of one year from a database; drivers and logins go in ``options``."""
-    split = jdbc_ledger_options(url, table, year, partitions, columns, keys)
+    split = jdbc_ledger_options(url, table, year, partitions, columns, keys, split_on)
     df = spark.read.format("jdbc").options(**{**split, **options}).load()
     return as_ledger(df, columns, keys)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
+from html import escape
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.config import SECTIONS, ReportConfig
 from ledgerloom.functions.dates import day_text
 from ledgerloom.functions.money import format_money
-from ledgerloom.functions.text import html_row
+from ledgerloom.functions.text import escape_html, html_row
 from ledgerloom.operators.matrix import FORECAST_MARK
 
 DOCUMENT_ROWS = 5_000
@@ -68,8 +70,10 @@ def document_lines(
     ``keys`` may name any columns to take along.
     """
     columns = ["label", *cfg.month_labels, "total"]
-    heading = html_row([F.lit(c) for c in columns], "th")
-    opening = F.concat(F.lit('<table border="1"><thead>'), heading, F.lit("</thead><tbody>"))
+    heading = "".join(f"<th>{escape(c, quote=False)}</th>" for c in columns)
+    opening = f'<table border="1"><thead><tr>{heading}</tr></thead><tbody>'
+    # Amounts are digits and the style's own signs, so only the style needs escaping, once.
+    style = replace(cfg.money, symbol=escape(cfg.money.symbol, quote=False))
 
     # Every section has exactly one closing row, which also brings the opening line.
     last_surplus = 1 if cfg.excluded_label is None else 2
@@ -79,14 +83,14 @@ def document_lines(
     copies = F.when(closes, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
     opens = F.col("opens")
     return (
-        bundle_text(bundle, cfg)
+        bundle_text(bundle, replace(cfg, money=style))
         .select(
             *keys,
             "section",
             "rank",
             "label",
             F.concat(
-                html_row([F.col(c) for c in columns]),
+                html_row([escape_html(F.col("label")), *[F.col(c) for c in columns[1:]]]),
                 F.when(closes, "</tbody></table>").otherwise(""),
             ).alias("html"),
             F.explode(copies).alias("opens"),

@@ -12,7 +12,7 @@ import pytest
 from conftest import as_dicts
 from pyspark.sql import functions as F
 
-from ledgerloom import ReportConfig, report_bundle, surplus_table
+from ledgerloom import MoneyStyle, ReportConfig, report_bundle, surplus_table
 from ledgerloom.plans.registry import NamedQuery, QueryRegistry
 from ledgerloom.session import scratch_folder
 from ledgerloom.sources.ledger import (
@@ -115,6 +115,9 @@ def test_jdbc_reads_one_year_in_parallel(postings):
         "numPartitions": "64",
         "fetchsize": "10000",
     }
+    split = jdbc_ledger_options("jdbc:x", "fact", 2001, 8, split_on=("posting_id", "1", "900"))
+    assert split["dbtable"].startswith("(SELECT entry_date, kind, account, sub_code, amount, posting_id ")
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"]) == ("posting_id", "1", "900")
     reader = RecordingReader(postings)
     df = read_ledger_jdbc(reader, "jdbc:x", "fact", 2001, 64, keys=["unit"], user="me", fetchsize="5")
     assert df.columns == postings.columns
@@ -184,6 +187,13 @@ def test_documents(postings):
     assert by["u1", "surplus"]["html"].count("<tr>") == 3
 
 
+def test_currency_symbol_is_escaped(postings):
+    cfg = replace(CFG, money=MoneyStyle(symbol="<&> "))
+    lines = document_lines(report_bundle(postings, cfg), cfg).where("section = 'revenue'")
+    html = "".join(row["html"] for row in as_dicts(lines))
+    assert "<td>&lt;&amp;&gt; 1.400,00 (P)</td>" in html and "<&>" not in html
+
+
 def test_long_sections_come_in_parts(postings):
     bundle = report_bundle(postings, CFG, ["unit"])
     whole = {
