@@ -26,6 +26,19 @@ from ledgerloom.operators.matrix import (
 )
 
 
+RESERVED = frozenset({
+    "entry_date", "kind", "account", "sub_code", "amount", "month", "is_revenue", "section",
+    "row_type", "label", "rank", "total", "forecast_month", "report_year",
+})
+
+
+def check_keys(cfg: ReportConfig, keys: Sequence[str]) -> None:
+    """Entity keys may not be named like a column of the ledger or the report."""
+    taken = sorted({k.lower() for k in keys} & (RESERVED | {m.lower() for m in cfg.month_labels}))
+    if taken:
+        raise ValueError(f"rename these entity keys, the reports use the names: {taken}")
+
+
 def account_months(
     ledger: DataFrame, cfg: ReportConfig, keys: Sequence[str], kinds: Sequence[str]
 ) -> DataFrame:
@@ -34,6 +47,7 @@ def account_months(
     Revenue outside the listed accounts keeps neither account nor amount: it folds into one
     empty row per entity with a NULL total, which holds the entity's place in the totals.
     """
+    check_keys(cfg, keys)
     wanted = {label_text(k) for k in kinds}
     revenue = label_text(cfg.revenue_kind)
     has_revenue = revenue in wanted

@@ -243,6 +243,12 @@ def test_registry(make_ledger):
         registry.run("profit", make_ledger([]), CFG)
 
 
+def test_entity_keys_named_like_report_columns(make_ledger):
+    for name in ("Section", "jan", "amount"):
+        with pytest.raises(ValueError, match="rename these entity keys"):
+            revenue_matrix(make_ledger([]), CFG, [name])
+
+
 def test_config_checks():
     with pytest.raises(ValueError):
         replace(CFG, month_labels=("jan",) * 12)
