@@ -311,6 +311,16 @@ def sign(column: str) -> str:
     return f"CASE WHEN {column} < 0 THEN 'neg' WHEN {column} >= 0 THEN 'pos' END"
 
 
+DOCUMENTS = f"""WITH {BUNDLE}, {html_lines()}
+    SELECT unit, section, 0 AS part_rank, '' AS part_label,
+           CASE section WHEN 'expense' THEN 'Expense' WHEN 'revenue' THEN 'Revenue'
+                ELSE 'Surplus' END || ' by month' AS title,
+           'Budget preview - ' || strftime(DATE '2001-09-15', '%d/%m/%Y') AS subject,
+           'Expense and revenue as of ' || strftime(DATE '2001-09-15', '%d/%m/%Y') AS intro,
+           string_agg(html, '' ORDER BY rank, label) AS html
+    FROM lines GROUP BY unit, section"""
+
+
 ORACLES: dict[str, str] = {
     "year_kind_filter": f"""WITH {LEDGER}
         SELECT entry_date, kind, account, sub_code, amount FROM ledger
@@ -366,14 +376,8 @@ ORACLES: dict[str, str] = {
     "keyed_surplus": f"WITH {all_ctes('unit')} SELECT * FROM surplus",
     "report_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
     "document_lines": f"WITH {BUNDLE}, {html_lines()} SELECT * FROM lines",
-    "report_documents": f"""WITH {BUNDLE}, {html_lines()}
-        SELECT unit, section, 0 AS part_rank, '' AS part_label,
-               CASE section WHEN 'expense' THEN 'Expense' WHEN 'revenue' THEN 'Revenue'
-                    ELSE 'Surplus' END || ' by month' AS title,
-               'Budget preview - ' || strftime(DATE '2001-09-15', '%d/%m/%Y') AS subject,
-               'Expense and revenue as of ' || strftime(DATE '2001-09-15', '%d/%m/%Y') AS intro,
-               string_agg(html, '' ORDER BY rank, label) AS html
-        FROM lines GROUP BY unit, section""",
+    "report_documents": DOCUMENTS,
+    "delivered_documents": DOCUMENTS,
     "written_report_roundtrip": f"WITH {all_ctes()} SELECT * FROM surplus",
     "money_format": f"""WITH amounts AS (
             SELECT l_orderkey, l_linenumber, {LINE_AMOUNT} AS amount FROM lineitem

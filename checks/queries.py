@@ -45,6 +45,7 @@ from ledgerloom.operators.matrix import (
     ranked,
     row_total,
 )
+from ledgerloom.plans.delivery import deliver_report
 from ledgerloom.plans.registry import NamedQuery, default_registry
 from ledgerloom.plans.reports import (
     expense_matrix,
@@ -296,6 +297,14 @@ def q_written_report_roundtrip(spark, sf_dir):
     )
 
 
+def q_delivered_documents(spark, sf_dir):
+    """Tables written, documents made from them and written, both below the shared folder."""
+    folder = scratch_folder(spark)
+    postings = ledger(spark, sf_dir, keyed=True)
+    _, documents = deliver_report(postings, CONFIG, folder, UNIT)
+    return spark.read.parquet(documents).drop("report_year")
+
+
 def q_money_format(spark, sf_dir):
     amount = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(
         F.col("l_extendedprice")

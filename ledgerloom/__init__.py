@@ -1,6 +1,7 @@
 """Period-close budget reporting over ledgers of any size, on Spark DataFrames."""
 
 from ledgerloom.config import MONTH_LABELS, MoneyStyle, Reclass, ReportConfig
+from ledgerloom.plans.delivery import deliver_report
 from ledgerloom.plans.registry import NamedQuery, QueryRegistry, default_registry
 from ledgerloom.plans.reports import (
     expense_matrix,
@@ -18,6 +19,7 @@ __all__ = [
     "Reclass",
     "ReportConfig",
     "default_registry",
+    "deliver_report",
     "expense_matrix",
     "report_bundle",
     "revenue_matrix",

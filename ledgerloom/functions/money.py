@@ -64,7 +64,7 @@ def money_rejects(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
     aggregates: list[Column] = []
     for i, name in enumerate(columns):
         text = F.col(f"`{name}`")
-        bad = (F.trim(text) != "") & parse_money(text).isNull()
+        bad = (F.translate(text, WHITE_SPACE, "") != "") & parse_money(text).isNull()
         aggregates += [
             F.count(text).alias(f"seen_{i}"),
             F.count(F.when(bad, 1)).alias(f"bad_{i}"),

@@ -12,7 +12,7 @@ import pytest
 from conftest import as_dicts
 from pyspark.sql import functions as F
 
-from ledgerloom import MoneyStyle, ReportConfig, report_bundle, surplus_table
+from ledgerloom import MoneyStyle, ReportConfig, deliver_report, report_bundle, surplus_table
 from ledgerloom.plans.registry import NamedQuery, QueryRegistry
 from ledgerloom.session import scratch_folder
 from ledgerloom.sources.ledger import (
@@ -38,6 +38,7 @@ CFG = ReportConfig(
 @pytest.fixture()
 def postings(make_ledger):
     rows = [(m, "Revenue", a, "c", 100 * m) for m in (1, 7) for a in ("A", "B")]
+    rows.append((1, "Expense", None, "c", 3))
     rows += [(m, "Expense", f"Cost <{i}> & co", "c", m + i) for m in (1, 2) for i in range(30)]
     return make_ledger([(*r, u) for r in rows for u in ("u1", None)], keyed=True)
 
@@ -136,7 +137,7 @@ def test_sql_text_query(postings):
         "AND entry_date < :next_first_day AND kind = :kind GROUP BY sub_code",
         kind="Expense",
     )
-    assert as_dicts(registry.run("codes", postings, CFG)) == [{"sub_code": "c", "n": 120}]
+    assert as_dicts(registry.run("codes", postings, CFG)) == [{"sub_code": "c", "n": 122}]
     assert as_dicts(registry.run("codes", postings, replace(CFG, year=1990))) == []
 
 
@@ -159,7 +160,7 @@ def test_a_rerun_replaces_its_own_year_only(spark, postings, tmp_path):
         write_report(report_bundle(postings, cfg), cfg, path)
     back = spark.read.parquet(path).groupBy("report_year").count().collect()
     # 2002 has no postings: two empty total rows and two empty differences
-    assert sorted(tuple(r) for r in back) == [(2001, 2 + 1 + 30 + 1 + 2), (2002, 4)]
+    assert sorted(tuple(r) for r in back) == [(2001, 2 + 1 + 31 + 1 + 2), (2002, 4)]
 
 
 def test_extra_folders(postings, tmp_path):
@@ -183,7 +184,7 @@ def test_documents(postings):
     assert "<td>COST &lt;7&gt; &amp; CO</td>" in by["u1", "expense"]["html"]
     assert "<td>R$ -" not in by["u1", "revenue"]["html"]
     # Surplus text puts the minus inside.
-    assert "<td>R$ -265,00</td>" in by["u1", "surplus"]["html"]
+    assert "<td>R$ -268,00</td>" in by["u1", "surplus"]["html"]
     assert by["u1", "surplus"]["html"].count("<tr>") == 3
 
 
@@ -208,7 +209,7 @@ def test_long_sections_come_in_parts(postings):
         count[key] = count.get(key, 0) + 1
     assert joined == whole
     assert count == {
-        (u, s): 32 if s == "expense" else 1 for u in ("u1", None) for s in ("expense", "revenue", "surplus")
+        (u, s): 33 if s == "expense" else 1 for u in ("u1", None) for s in ("expense", "revenue", "surplus")
     }
 
 
@@ -221,6 +222,19 @@ def test_documents_are_written_like_reports(spark, postings, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, expected))
 
 
+def test_delivery(spark, postings, tmp_path):
+    postings.write.parquet(str(tmp_path / "ledger"))
+    ledger = spark.read.parquet(str(tmp_path / "ledger"))
+    for max_rows in (5000, 10):
+        tables, documents = deliver_report(ledger, CFG, str(tmp_path / "out"), ["unit"], max_rows)
+        bundle = report_bundle(ledger, CFG, ["unit"])
+        back = spark.read.parquet(tables).select(bundle.columns)
+        assert sorted(map(str, back.collect())) == sorted(map(str, bundle.collect()))
+        expected = report_documents(bundle, CFG, ["unit"], max_rows)
+        back = spark.read.parquet(documents).select(expected.columns)
+        assert sorted(map(str, back.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_lines_without_an_excluded_account(postings):
     cfg = replace(CFG, excluded_account=None)
     lines = document_lines(report_bundle(postings, cfg), cfg).where(F.col("section") == "surplus")

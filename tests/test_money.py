@@ -30,6 +30,7 @@ PARSED = [
     ("abc", None),
     ("", None),
     ("   ", None),
+    ("\t\u00a0\n", None),
     (None, None),
     ("R$ 1.234.567.890,12", "1234567890.12"),
     ("17", "17.00"),
