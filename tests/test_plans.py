@@ -84,6 +84,20 @@ def test_one_scan_of_the_year(spark, stored, name, keys):
         assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("keys", [[], UNIT], ids=["one", "keyed"])
+@pytest.mark.parametrize("name", REPORTS)
+def test_one_scan_in_the_static_plan(spark, stored, name, keys):
+    """Adaptive execution leaves branches it dropped out of its final plan, scans and all; the
+    static plan shows every branch."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = REPORTS[name](read_ledger(spark, stored, keys=UNIT), CFG, keys)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan") == 1
+
+
 def test_surplus_of_matrices_scans_once_per_kind(spark, stored):
     ledger = read_ledger(spark, stored, keys=UNIT)
     plan = run_plan(
