@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import quality_rules, substring_dedup, suffix_array_dedup
 from .shared import table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_dedup.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
 }
 ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.oracle_sql(),
