@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules, substring_dedup, suffix_array_dedup
+from . import bpe, mixing, ngram_jaccard, quality_rules, substring_dedup, suffix_array_dedup
 from .shared import table
 
 
@@ -31,12 +31,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_bpe": op8_bpe,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 ORACLES: dict[str, str] = {
     "op1_mix_sources": mixing.oracle_sql(),
