@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, ngram_jaccard, quality_rules, substring_dedup, suffix_array_dedup
+from . import (
+    bpe,
+    mixing,
+    ngram_jaccard,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    suffix_array_dedup,
+    toxicity,
+)
 from .shared import table
 
 
@@ -23,6 +32,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.report(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -39,6 +56,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_toxicity": op5_toxicity,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_bpe": op8_bpe,
     "op10_ngram_jaccard": op10_ngram_jaccard,
