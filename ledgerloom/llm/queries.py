@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     bpe,
+    lm_scores,
     mixing,
+    mtree_search,
     ngram_jaccard,
     quality_classifier,
     quality_rules,
@@ -40,6 +42,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree_search.report(table(spark, sf_dir, "embeddings"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -48,6 +54,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.report(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.report(table(spark, sf_dir, "documents"))
 
@@ -58,11 +68,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
+    "op6_exact_topk": op6_exact_topk,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_bpe": op8_bpe,
+    "op9_lm_scores": op9_lm_scores,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 ORACLES: dict[str, str] = {
+    "op9_lm_scores": lm_scores.oracle_sql(),
     "op1_mix_sources": mixing.oracle_sql(),
     "op3_quality_rules": quality_rules.oracle_sql(),
 }
