@@ -212,25 +212,64 @@ def _indexed(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def _windows(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Every window of the pieces, by its own hash."""
+    """Every window of the pieces by its own hash, with all its places in the batch at hand: a
+    window that very many pieces share arrives as one row per batch."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             col = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("key", *PLACE, "c")}
+            found: dict[str, list[np.ndarray]] = {name: [] for name in ("key", "window", *PLACE, "c")}
             for chunk in chunks(batch.column("units")):
                 units = Units(chunk, kind.words)
                 begin = np.flatnonzero(units.windows(kind.size))
                 doc = np.searchsorted(units.bounds, begin, side="right") - 1
-                row = chunk.first + doc
-                yield pa.RecordBatch.from_arrays([
-                    column(col["key"][row]), column(Stretches(units.values)(begin, begin + kind.size)),
-                    column(col["_d"][row]), column(col["_t"][row]),
-                    column(begin - units.bounds[doc] + col["at"][row]), column(col["c"][row]),
-                ], names=["key", "window", *PLACE, "c"])
+                for name in ("key", "_d", "_t", "c"):
+                    found[name].append(col[name][chunk.first + doc])
+                found["at"].append(begin - units.bounds[doc] + col["at"][chunk.first + doc])
+                found["window"].append(Stretches(units.values)(begin, begin + kind.size))
+            rows = {name: np.concatenate(parts) for name, parts in found.items()}
+            order = np.lexsort([rows[name] for name in ("at", "_t", "_d", "key", "window")])
+            rows = {name: x[order] for name, x in rows.items()}
+            same = (rows["window"][1:] == rows["window"][:-1]) & (rows["key"][1:] == rows["key"][:-1])
+            again = same & np.all([rows[name][1:] == rows[name][:-1] for name in PLACE], axis=0)
+            fresh = np.append(True, ~again)[: len(order)]  # a row of documents that comes twice is one document
+            rows = {name: x[fresh] for name, x in rows.items()}
+            first = np.flatnonzero(np.append(True, ~same)[: len(order)][fresh])
+            bounds = pa.array(np.append(first, len(rows["at"])).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                column(rows["key"][first]), column(rows["window"][first]),
+                column(np.add.reduceat(rows["c"], first) if len(first) else rows["c"]),
+                *(column(rows[name][first]) for name in PLACE),
+                *(pa.ListArray.from_arrays(bounds, column(rows[name])) for name in PLACE),
+                column(np.full(len(first), rows["window"][:1].sum())),
+            ], names=["key", "window", "c", *PLACE, *(name + "s" for name in PLACE), "batch"])
 
     return windows
 
 
+def _joined(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From places of repeated windows: the stretches that neighbouring windows cover."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d, t, at = (batch.column(i).flatten().to_numpy() for i in range(3))
+            if kind.first_stays:
+                sizes = batch.column(0).value_lengths().to_numpy()
+                first = [np.repeat(batch.column(i).to_numpy(), sizes) for i in range(3, 6)]
+                later = (d != first[0]) | (t != first[1]) | (at != first[2])
+                d, t, at = d[later], t[later], at[later]
+            order = np.lexsort((at, t, d))
+            d, t, at = d[order], t[order], at[order]
+            begin, end = runs(np.ones(len(d), dtype=bool), np.append(
+                True, (d[1:] == d[:-1]) & (t[1:] == t[:-1]) & (at[1:] - at[:-1] <= 1))[: len(d)])
+            yield pa.RecordBatch.from_arrays(
+                [column(d[begin]), column(t[begin]), column(at[begin]), column(at[end - 1] - at[begin] + kind.size)],
+                names=[*PLACE, "len"],
+            )
+
+    return joined
+
+
 def _place(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + c) for c in PLACE])
 
@@ -267,14 +306,15 @@ def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
     indexed = pieces(False).repartition("key").sortWithinPartitions("key")
     found = found.union(indexed.mapInArrow(_indexed(kind), "_d long, _t long, at long, len long"))
     if not several.where("many").isEmpty():
+        lists = ", ".join(f"{name}s array<long>" for name in PLACE)
         every = pieces(True).mapInArrow(
-            _windows(kind), "key long, window long, _d long, _t long, at long, c long"
-        ).dropDuplicates(["key", "window", *PLACE])
+            _windows(kind), f"key long, window long, c long, _d long, _t long, at long, {lists}, batch long"
+        )
         counts = every.groupBy("key", "window").agg(F.sum("c").alias("total"), F.min(_place()).alias("first"))
-        again = every.join(counts.where("total > 1"), ["key", "window"])
-        if kind.first_stays:
-            again = again.where(_place() != F.col("first"))
-        found = found.union(again.select(*PLACE, F.lit(kind.size).cast("long").alias("len")))
+        again = every.drop(*PLACE).join(counts.where("total > 1"), ["key", "window"])
+        # rows of a batch hold neighbouring windows of the same pieces
+        again = again.select(*[name + "s" for name in PLACE], "first.*", "batch").repartition("batch")
+        found = found.union(again.mapInArrow(_joined(kind), "_d long, _t long, at long, len long"))
     spans = found.groupBy("_d", "_t").agg(F.array_sort(F.collect_list(F.struct("at", "len"))).alias("spans"))
     return base.join(spans, ["_d", "_t"], "left")
 
