@@ -15,7 +15,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 #: Text bytes worked on at a time; a longer document is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True

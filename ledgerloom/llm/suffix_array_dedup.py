@@ -151,7 +151,7 @@ def repeated_windows(units: Units) -> np.ndarray:
     return np.delete(long, marks)
 
 
-BYTES = Kind(size=LENGTH, gram=24, longest=256, words=False, first_stays=False, index=repeated_windows, batch_bytes=1 << 19)
+BYTES = Kind(size=LENGTH, gram=24, longest=256, words=False, first_stays=False, index=repeated_windows, batch_bytes=1 << 17)
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
