@@ -5,19 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerloom.config import ReportConfig
 from ledgerloom.plans.reports import report_bundle
-from ledgerloom.sources.sinks import DOCUMENT_ROWS, report_documents, write_report
+from ledgerloom.sources.sinks import in_reading_order, report_documents, write_report, year_folder
 
 
 def deliver_report(
-    ledger: DataFrame,
-    cfg: ReportConfig,
-    folder: str,
-    keys: Sequence[str] = (),
-    max_rows: int = DOCUMENT_ROWS,
+    ledger: DataFrame, cfg: ReportConfig, folder: str, keys: Sequence[str] = ()
 ) -> tuple[str, str]:
     """Write ``folder``/tables and ``folder``/documents; returns both paths.
 
@@ -27,10 +22,7 @@ def deliver_report(
     tables, documents = f"{folder}/tables", f"{folder}/documents"
     bundle = report_bundle(ledger, cfg, keys)
     write_report(bundle, cfg, tables)
-    written = (
-        ledger.sparkSession.read.parquet(tables)
-        .where(F.col("report_year") == cfg.year)
-        .select(bundle.columns)
-    )
-    write_report(report_documents(written, cfg, keys, max_rows), cfg, documents)
+    written = ledger.sparkSession.read.schema(bundle.schema).parquet(year_folder(tables, cfg))
+    lines = report_documents(written.select(bundle.columns), cfg, keys)
+    write_report(in_reading_order(lines, keys), cfg, documents)
     return tables, documents

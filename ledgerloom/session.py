@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,13 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """New folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a single-machine session may do without that setting.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="ledgerloom-")
+    """New folder below the shared folder the cluster names in ``spark.checkpoint.dir``, or else
+    below its warehouse, which all executors share too."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"

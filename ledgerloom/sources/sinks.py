@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import SECTIONS, ReportConfig
 from ledgerloom.functions.dates import day_text
-from ledgerloom.functions.money import format_money
 from ledgerloom.functions.text import escape_html, html_row
-from ledgerloom.operators.matrix import FORECAST_MARK
+from ledgerloom.operators.matrix import matrix_text
 
-DOCUMENT_ROWS = 5_000
+
+def year_folder(path: str, cfg: ReportConfig) -> str:
+    return f"{path.rstrip('/')}/report_year={cfg.year}"
 
 
 def write_report(
@@ -28,19 +29,21 @@ def write_report(
 ) -> None:
     """Write a bundle (or its documents), one folder per year and section.
 
-    No shuffle precedes the write; each task splits its rows by section. With dynamic
-    partition overwrite a re-run replaces the folders it writes, so its own year only.
+    No shuffle precedes the write; each task splits its rows by section. A re-run replaces the
+    whole folder of its year, so nothing of an earlier run stays, and no other year's.
     Entity keys of few values may be added in ``partition_by``; as folders, many values would
-    mean many small files, and an entity gone since the last run keeps its old folder.
+    mean many small files. Such a key's folder is called ``<key>_folder`` and the key stays a
+    column, since readers that infer types turn folder names like 007 into numbers.
     """
+    folders = [f"{k}_folder" for k in partition_by]
     (
-        bundle.withColumn("report_year", F.lit(cfg.year))
+        bundle.withColumns({f: F.col(k) for f, k in zip(folders, partition_by)})
         .write.format(fmt)
         .mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .options(**({"header": "true"} if fmt == "csv" else {}))
-        .partitionBy("report_year", *partition_by, "section")
-        .save(path)
+        .partitionBy(*folders, "section")
+        .save(year_folder(path, cfg))
     )
 
 
@@ -49,16 +52,7 @@ def bundle_text(bundle: DataFrame, cfg: ReportConfig) -> DataFrame:
     inner = F.when(F.col("section") == "surplus", F.lit(cfg.surplus_negative)).otherwise(
         F.lit(cfg.money.negative)
     ) == "inner"
-    text = {
-        name: F.concat(
-            format_money(F.col(name), cfg.money, inner),
-            F.when(F.col("forecast_month") == number, FORECAST_MARK).otherwise(""),
-        )
-        for number, name in enumerate(cfg.month_labels, 1)
-    }
-    return bundle.withColumns({**text, "total": format_money(F.col("total"), cfg.money, inner)}).drop(
-        "forecast_month"
-    )
+    return matrix_text(bundle, cfg, inner)
 
 
 def document_lines(
@@ -70,8 +64,9 @@ def document_lines(
     ``keys`` may name any columns to take along.
     """
     columns = ["label", *cfg.month_labels, "total"]
-    heading = "".join(f"<th>{escape(c, quote=False)}</th>" for c in columns)
-    opening = f'<table border="1"><thead><tr>{heading}</tr></thead><tbody>'
+    shown = [cfg.label_heading, *cfg.month_labels, cfg.total_heading]
+    heading = "".join(f"<th>{escape(c, quote=False)}</th>" for c in shown)
+    opening = f'<table border="1"><thead><tr align="center">{heading}</tr></thead><tbody>'
     # Amounts are digits and the style's own signs, so only the style needs escaping, once.
     style = replace(cfg.money, symbol=escape(cfg.money.symbol, quote=False))
 
@@ -105,53 +100,33 @@ def document_lines(
     )
 
 
-def report_documents(
-    bundle: DataFrame,
-    cfg: ReportConfig,
-    keys: Sequence[str] = (),
-    max_rows: int = DOCUMENT_ROWS,
-) -> DataFrame:
-    """HTML tables with subject and introduction:
+def report_documents(bundle: DataFrame, cfg: ReportConfig, keys: Sequence[str] = ()) -> DataFrame:
+    """HTML tables with subject and introduction, a row for each line:
     [keys], section, part_rank, part_label, title, subject, intro, html.
 
-    A section of up to ``max_rows`` rows is one document (part 0). The number of expense
-    accounts of an entity has no bound, so a longer section is not gathered in one task:
-    its lines stay rows of their own, in order of (part_rank, part_label). Either way the
-    joined ``html`` of a section is its whole table.
+    In order of (part_rank, part_label) the ``html`` of an entity's section is its whole table.
+    Title, subject and introduction stand on the opening line (``part_rank`` 0) and are NULL on
+    the others. The shape is the same for any number of accounts; no section is gathered.
     """
-    group = [*keys, "section"]
-    # At most one section in ``max_rows`` rows gets here, so adaptive execution can broadcast
-    # them or, as a rule, drop the join. It comes before the rows grow into HTML.
-    long = (
-        bundle.groupBy(*group)
-        .agg(F.count("*").alias("__n"))
-        .where(F.col("__n") > max_rows)
-        .select(*[F.col(c).alias(f"__{c}") for c in group])
-    )
-    on = F.lit(True)
-    for c in group:
-        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    rows = bundle.join(long, on, "left").withColumn("__long", F.col("__section").isNotNull())
-    parts = document_lines(rows, cfg, [*keys, "__long"]).select(
-        *group,
-        F.when(F.col("__long"), F.col("rank")).otherwise(0).alias("part_rank"),
-        F.when(F.col("__long"), F.col("label")).otherwise("").alias("part_label"),
-        F.struct("rank", "label", "html").alias("line"),
-    )
     as_of = day_text(F.lit(cfg.as_of))
     title = F.lit(None).cast("string")
     for section, text in zip(SECTIONS, cfg.section_titles):
         title = F.when(F.col("section") == section, text).otherwise(title)
-    return (
-        parts.groupBy(*group, "part_rank", "part_label")
-        .agg(F.array_join(F.array_sort(F.collect_list("line"))["html"], "").alias("html"))
-        .select(
-            *group,
-            "part_rank",
-            "part_label",
-            title.alias("title"),
-            F.concat(F.lit(cfg.subject), as_of).alias("subject"),
-            F.concat(F.lit(cfg.intro), as_of).alias("intro"),
-            "html",
-        )
+    opens = F.col("rank") == 0
+    return document_lines(bundle, cfg, keys).select(
+        *keys,
+        "section",
+        F.col("rank").alias("part_rank"),
+        F.col("label").alias("part_label"),
+        F.when(opens, title).alias("title"),
+        F.when(opens, F.concat(F.lit(cfg.subject), as_of)).alias("subject"),
+        F.when(opens, F.concat(F.lit(cfg.intro), as_of)).alias("intro"),
+        "html",
     )
+
+
+def in_reading_order(documents: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Document lines in the order they are read, in ranges of about equal size: a section
+    of very many lines spans several tasks and files."""
+    order = [*keys, "section", "part_rank", "part_label"]
+    return documents.repartitionByRange(*order).sortWithinPartitions(*order)
