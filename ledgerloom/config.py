@@ -11,9 +11,21 @@ MONTH_LABELS = (
     "jul", "ago", "set", "out", "nov", "dez",
 )
 
-# Decimal type of every sum. Postings are DECIMAL(18,2); Spark widens their sum to this.
+# Decimal type of every amount in a report: cents, rounded once, after all sums.
 MONEY = "decimal(28,2)"
 
+# Decimal type of postings and of their sums before rounding. Twelve of the sums add up without
+# Spark having to give up decimals.
+RAW_DECIMALS = 8
+RAW = f"decimal(26,{RAW_DECIMALS})"
+
+# Column names of ledgers, reports and documents; month labels and entity keys may use none.
+RESERVED = frozenset({
+    "entry_date", "kind", "account", "sub_code", "amount", "month", "is_revenue", "section",
+    "row_type", "label", "rank", "total", "forecast_month", "report_year", "html", "opens",
+    "title", "subject", "intro", "part_rank", "part_label", "line",
+})
+
 # The three tables of a report, in the order they are delivered.
 SECTIONS = ("expense", "revenue", "surplus")
 
@@ -83,12 +95,17 @@ class ReportConfig:
     section_titles: tuple[str, str, str] = (
         "Expense by month", "Revenue by month", "Surplus by month"
     )
+    label_heading: str = "label"
+    total_heading: str = "total"
     subject: str = "Budget preview - "
     intro: str = "Expense and revenue as of "
 
     def __post_init__(self) -> None:
         if len(self.month_labels) != 12 or len(set(self.month_labels)) != 12:
             raise ValueError("month_labels must hold twelve different names")
+        taken = sorted(RESERVED & {m.lower() for m in self.month_labels})
+        if taken:
+            raise ValueError(f"month_labels may not be names that the reports use: {taken}")
 
     @property
     def surplus_money(self) -> MoneyStyle:
@@ -122,7 +139,8 @@ class ReportConfig:
 
     @property
     def unlisted_rank(self) -> int:
-        """Rank shared by expense accounts outside the list: after every listed one."""
+        """Rank shared by expense accounts outside the list: 98, or the one after the longest
+        list if that has 98 accounts or more."""
         return max(98, len(self.revenue_labels) + 1, len(self.expense_labels) + 1)
 
     @property

@@ -34,15 +34,23 @@ def format_money(
     return F.concat(F.when(cents < 0, negative).otherwise(style.symbol), digits)
 
 
-def parse_money(text: Column) -> Column:
-    """Money text to DECIMAL; anything that is no number becomes NULL.
+def parse_money(text: Column, style: MoneyStyle = BRL) -> Column:
+    """Money text of a style to DECIMAL; anything that is no number becomes NULL.
 
     Parenthesised text goes first (a forecast mark, but also an accounting negative, which
-    therefore becomes NULL), then currency characters, white space and thousands points;
-    the decimal comma turns into a point.
+    therefore becomes NULL), then currency characters, white space and thousands separators;
+    the decimal separator turns into a point. A thousands separator after the decimal one shows
+    that the text is of another style: NULL too.
     """
     bare = F.regexp_replace(text, r"\(.*?\)", "")
-    return F.translate(bare, ",.R$" + WHITE_SPACE, ".").try_cast(MONEY)
+    symbol = "".join(c for c in style.symbol if c not in "-0123456789")
+    dropped = style.thousands + symbol + WHITE_SPACE
+    # a plain point is no part of a number unless the style says so
+    other = "" if "." in style.decimal + style.thousands else "."
+    value = F.translate(bare, style.decimal + other + dropped, "." + other.replace(".", "?")).try_cast(MONEY)
+    fraction = F.substring_index(bare, style.decimal, -1)
+    foreign = F.contains(bare, F.lit(style.decimal)) & F.contains(fraction, F.lit(style.thousands))
+    return F.when(~foreign, value)
 
 
 def format_money_columns(
@@ -54,17 +62,19 @@ def format_money_columns(
     return df.withColumns({c: format_money(F.col(f"`{c}`"), style) for c in columns})
 
 
-def parse_money_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: parse_money(F.col(f"`{c}`")) for c in columns})
+def parse_money_columns(df: DataFrame, columns: Sequence[str], style: MoneyStyle = BRL) -> DataFrame:
+    return df.withColumns({c: parse_money(F.col(f"`{c}`"), style) for c in columns})
 
 
-def money_rejects(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def money_rejects(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), style: MoneyStyle = BRL
+) -> DataFrame:
     """Per column (and key): texts seen, texts that are not blank yet parse to NULL, and the
     smallest and largest such text as samples. One partial aggregate, nothing is collected."""
     aggregates: list[Column] = []
     for i, name in enumerate(columns):
         text = F.col(f"`{name}`")
-        bad = (F.translate(text, WHITE_SPACE, "") != "") & parse_money(text).isNull()
+        bad = (F.translate(text, WHITE_SPACE, "") != "") & parse_money(text, style).isNull()
         aggregates += [
             F.count(text).alias(f"seen_{i}"),
             F.count(F.when(bad, 1)).alias(f"bad_{i}"),

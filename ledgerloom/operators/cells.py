@@ -38,7 +38,9 @@ def reclassify(
 def month_sums(
     ledger: DataFrame, cfg: ReportConfig, kind: str, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Sum per entity, reclassified account and month: [keys], account, month, amount."""
+    """Sum per entity, reclassified account and month: [keys], account, month, amount. The rules
+    move revenue only. Each sum is rounded to cents once."""
+    rules = cfg.reclass_targets if label_text(kind) == label_text(cfg.revenue_kind) else {}
     postings = year_kind_filter(ledger, cfg.year, [kind]).select(
         *keys,
         label_key(F.col("account")).alias("account"),
@@ -47,7 +49,7 @@ def month_sums(
         "amount",
     )
     return (
-        reclassify(postings, cfg.reclass_targets)
+        reclassify(postings, rules)
         .groupBy(*keys, "account", "month")
         .agg(F.sum("amount").cast(MONEY).alias("amount"))
     )

@@ -37,7 +37,7 @@ def surplus_structs(cfg: ReportConfig) -> list[Column]:
             F.lit(label).alias("label"),
             F.lit(rank).alias("rank"),
             *[m.alias(name) for m, name in zip(months, cfg.month_labels)],
-            row_total(months).alias("total"),
+            row_total(months).cast(MONEY).alias("total"),
         )
         for rank, (label, months) in enumerate(rows, 1)
     ]

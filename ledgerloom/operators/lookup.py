@@ -4,13 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many entries the table becomes a CASE inside the row expression; above, a join.
-INLINE_ENTRIES = 64
-
 
 def lookup(
     df: DataFrame,
@@ -21,30 +17,19 @@ def lookup(
 ) -> DataFrame:
     """Add column ``name``: the ``table`` value for the texts in ``keys``, else ``default``.
 
-    ``table`` comes from settings, so its size never depends on the data. A joined table is a
-    local relation of known size: Spark broadcasts it if it is below its own threshold.
+    ``table`` comes from settings, so its size never depends on the data. It becomes two literal
+    arrays, entries and values, inside the row expression: no row moves, however many entries
+    there are. (Literal maps would do the same, but Spark doesn't see that two of them are equal,
+    and then reads the ledger twice.) A NULL key gets the default.
     """
     if not table:
         return df.withColumn(name, default)
-    if len(table) <= INLINE_ENTRIES:
-        value: Column | None = None
-        for entry, found in table.items():
-            match = keys[0] == entry[0]
-            for key, text in zip(keys[1:], entry[1:]):
-                match = match & (key == text)
-            value = F.when(match, F.lit(found)) if value is None else value.when(match, F.lit(found))
-        return df.withColumn(name, value.otherwise(default))
-
-    entry_names = [f"__key_{i}" for i in range(len(keys))]
-    columns = [pa.array(texts, pa.string()) for texts in zip(*table)]
-    found = pa.array(list(table.values()))
-    if pa.types.is_integer(found.type):
-        found = found.cast(pa.int32())
-    entries = df.sparkSession.createDataFrame(
-        pa.table([*columns, found], names=[*entry_names, "__found"])
-    )
-    on = keys[0] == F.col(entry_names[0])
-    for key, entry_name in zip(keys[1:], entry_names[1:]):
-        on = on & (key == F.col(entry_name))
-    joined = df.join(entries, on, "left")
-    return joined.withColumn(name, F.coalesce("__found", default)).drop(*entry_names, "__found")
+
+    def entry(parts: Sequence[Column]) -> Column:
+        named = [part.alias(f"k{i}") for i, part in enumerate(parts)]
+        return named[0] if len(named) == 1 else F.struct(*named)
+
+    entries = F.array(*[entry([F.lit(text) for text in texts]) for texts in table])
+    values = F.array(*[F.lit(value) for value in table.values()])
+    place = F.array_position(entries, entry(keys)).cast("int") - 1
+    return df.withColumn(name, F.coalesce(F.get(values, place), default))

@@ -31,7 +31,7 @@ def month_pivot(
 
 def row_total(months: Sequence[Column]) -> Column:
     """Sum over the months, missing ones as 0; 0 when all are missing."""
-    return reduce(lambda a, b: a + b, [F.coalesce(m, F.lit(0)) for m in months]).cast(MONEY)
+    return reduce(lambda a, b: a + b, [F.coalesce(m, F.lit(0)) for m in months])
 
 
 def any_value(months: Sequence[Column]) -> Column:
@@ -41,7 +41,8 @@ def any_value(months: Sequence[Column]) -> Column:
 def grand_total(
     matrix: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Column sums per entity. Without keys always exactly one row, all NULL on empty input."""
+    """Column sums per entity, rounded to cents. Without keys always exactly one row, all NULL on
+    empty input."""
     return matrix.groupBy(*keys).agg(*[F.sum(c).cast(MONEY).alias(c) for c in columns])
 
 
@@ -80,15 +81,16 @@ def ordered(matrix: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return matrix.orderBy(*keys, "rank", "label")
 
 
-def matrix_text(matrix: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Every amount as money text; forecast cells carry the mark."""
+def matrix_text(matrix: DataFrame, cfg: ReportConfig, inner_if: Column | None = None) -> DataFrame:
+    """Every amount as money text; forecast cells carry the mark. ``inner_if`` chooses the place
+    of the minus row by row."""
     text = {
         name: F.concat(
-            format_money(F.col(name), cfg.money),
+            format_money(F.col(name), cfg.money, inner_if),
             F.when(F.col("forecast_month") == number, FORECAST_MARK).otherwise(""),
         )
         for number, name in enumerate(cfg.month_labels, 1)
     }
-    return matrix.withColumns({**text, "total": format_money(F.col("total"), cfg.money)}).drop(
+    return matrix.withColumns({**text, "total": format_money(F.col("total"), cfg.money, inner_if)}).drop(
         "forecast_month"
     )

@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from ledgerloom.config import ReportConfig
+from ledgerloom.functions.money import format_money_columns
 from ledgerloom.operators.matrix import matrix_text, ordered
 from ledgerloom.plans.reports import expense_matrix, revenue_matrix, surplus_table
 
@@ -55,11 +56,12 @@ def default_registry() -> QueryRegistry:
             ordered(matrix(ledger, cfg, keys), keys), cfg
         ).drop("row_type", "rank")
 
+    def shown_surplus(ledger: DataFrame, cfg: ReportConfig, keys: Sequence[str]) -> DataFrame:
+        rows = ordered(surplus_table(ledger, cfg, keys), keys).drop("rank")
+        return format_money_columns(rows, [*cfg.month_labels, "total"], cfg.surplus_money)
+
     return QueryRegistry(
         revenue=NamedQuery("Revenue by month", shown(revenue_matrix)),
         expense=NamedQuery("Expense by month", shown(expense_matrix)),
-        surplus=NamedQuery(
-            "Surplus by month",
-            lambda ledger, cfg, keys: ordered(surplus_table(ledger, cfg, keys), keys).drop("rank"),
-        ),
+        surplus=NamedQuery("Surplus by month", shown_surplus),
     )

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.config import MONEY, ReportConfig, label_text
+from ledgerloom.config import MONEY, RAW, RESERVED, ReportConfig, label_text
 from ledgerloom.functions.text import label_key
 from ledgerloom.operators.cells import reclassify, year_kind_filter
 from ledgerloom.operators.delta import PARTS, surplus_rows, surplus_structs, totals_of_matrices
@@ -26,15 +26,11 @@ from ledgerloom.operators.matrix import (
 )
 
 
-RESERVED = frozenset({
-    "entry_date", "kind", "account", "sub_code", "amount", "month", "is_revenue", "section",
-    "row_type", "label", "rank", "total", "forecast_month", "report_year",
-})
-
-
 def check_keys(cfg: ReportConfig, keys: Sequence[str]) -> None:
     """Entity keys may not be named like a column of the ledger or the report."""
-    taken = sorted({k.lower() for k in keys} & (RESERVED | {m.lower() for m in cfg.month_labels}))
+    months = {m.lower() for m in cfg.month_labels}
+    made = {f"{part}_{m}" for part in PARTS for m in [*months, "total"]}
+    taken = sorted({k.lower() for k in keys} & (RESERVED | months | made))
     if taken:
         raise ValueError(f"rename these entity keys, the reports use the names: {taken}")
 
@@ -42,7 +38,8 @@ def check_keys(cfg: ReportConfig, keys: Sequence[str]) -> None:
 def account_months(
     ledger: DataFrame, cfg: ReportConfig, keys: Sequence[str], kinds: Sequence[str]
 ) -> DataFrame:
-    """[keys], is_revenue, account, months, forecast_month, total.
+    """[keys], is_revenue, account, months, forecast_month, total; amounts as precise as the
+    ledger's, to be rounded by what is made of them.
 
     Revenue outside the listed accounts keeps neither account nor amount: it folds into one
     empty row per entity with a NULL total, which holds the entity's place in the totals.
@@ -68,7 +65,9 @@ def account_months(
             "amount": F.when(kept, F.col("amount")),
         })
 
-    wide = month_pivot(postings, [*keys, "is_revenue", "account"], cfg.month_labels)
+    wide = month_pivot(
+        postings, [*keys, "is_revenue", "account"], cfg.month_labels, F.sum("amount").cast(RAW)
+    )
     wide = carry_month(wide, cfg, F.col("is_revenue"))
     months = [F.col(m) for m in cfg.month_labels]
     shown = ~F.col("is_revenue") | any_value(months)
@@ -91,8 +90,7 @@ def _details(wide: DataFrame, cfg: ReportConfig, keys: Sequence[str]) -> DataFra
         F.lit("detail").alias("row_type"),
         F.col("account").alias("label"),
         "rank",
-        *cfg.month_labels,
-        "total",
+        *[F.col(name).cast(MONEY).alias(name) for name in [*cfg.month_labels, "total"]],
         "forecast_month",
     )
 
@@ -124,7 +122,10 @@ def expense_matrix(ledger: DataFrame, cfg: ReportConfig, keys: Sequence[str] = (
 def surplus(
     revenue: DataFrame, expense: DataFrame, cfg: ReportConfig, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Difference rows of two finished matrices: [keys], label, rank, months, total."""
+    """Difference rows of two finished matrices: [keys], label, rank, months, total.
+
+    From a ledger, ``surplus_table`` gives the same in one pass over it.
+    """
     return surplus_rows(totals_of_matrices(revenue, expense, cfg, keys), cfg, keys)
 
 

@@ -9,33 +9,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.config import RAW, RAW_DECIMALS
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("entry_date", T.DateType()),
     T.StructField("kind", T.StringType()),
     T.StructField("account", T.StringType()),
     T.StructField("sub_code", T.StringType()),
-    T.StructField("amount", T.DecimalType(18, 2)),
+    T.StructField("amount", T.DecimalType(26, RAW_DECIMALS)),
 ])
 
 
 def as_ledger(
     df: DataFrame, columns: Mapping[str, str] | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Project ``df`` onto the ledger schema plus entity ``keys``.
+    """Project ``df`` onto the ledger schema plus entity ``keys``, which become text.
 
-    ``columns`` maps ledger names to the source's own. Missing columns are an error; types
-    are cast; in ANSI mode, Spark's default, a value that does not fit fails the job.
+    ``columns`` maps ledger names to the source's own; case does not matter, as in Spark. Missing
+    columns are an error; types are cast; in ANSI mode, Spark's default, a value that does not
+    fit fails the job. Amounts keep up to eight decimals and are not rounded to cents here; a
+    decimal column that has more is an error.
     """
     columns = dict(columns or {})
     names = {f.name: columns.get(f.name, f.name) for f in LEDGER_SCHEMA.fields}
     names |= {k: columns.get(k, k) for k in keys}
-    missing = sorted(set(names.values()) - set(df.columns))
+    there = {c.lower(): c for c in df.columns} | {c: c for c in df.columns}
+    found = {name: there.get(source, there.get(source.lower())) for name, source in names.items()}
+    missing = sorted(names[name] for name, source in found.items() if source is None)
     if missing:
         raise ValueError(f"ledger source lacks columns {missing}; it has {df.columns}")
+    amount = df.schema[found["amount"]].dataType
+    if isinstance(amount, T.DecimalType) and amount.scale > RAW_DECIMALS:
+        raise ValueError(f"amounts of {amount.simpleString()} have more decimals than {RAW} keeps")
     types = {f.name: f.dataType for f in LEDGER_SCHEMA.fields}
     return df.select(*[
-        (F.col(f"`{source}`").cast(types[name]) if name in types else F.col(f"`{source}`")).alias(name)
-        for name, source in names.items()
+        F.col(f"`{source}`").cast(types.get(name, T.StringType())).alias(name)
+        for name, source in found.items()
     ])
 
 
@@ -45,23 +54,35 @@ def read_ledger(
     fmt: str = "parquet",
     columns: Mapping[str, str] | None = None,
     keys: Sequence[str] = (),
+    year: int | None = None,
+    folders: Mapping[str, str] | None = None,
     **options: str,
 ) -> DataFrame:
     """Ledger from files. Partition them by posting date, month or year to prune the scan.
 
-    CSV files need a header, and columns are found by its names. JSON is read with a stated
-    schema, which spares a pass over the data; a field it lacks is NULL.
+    Files partitioned by posting date are pruned by the report's own range. For folders by year,
+    or by year and month, give the report's ``year`` and the folder columns as ``folders``:
+    {"year": "y"} or {"year": "y", "month": "m"} with months 1 to 12. Other years' folders are
+    then not even listed; the folders must agree with the posting dates.
+
+    CSV files need a header, and columns are found by its names. The text formats are read as
+    text and cast like any source, and a malformed line fails the job. JSON takes a pass over the
+    data to learn its field names, so that a misspelt one is an error; a field that some lines
+    lack is NULL there. ``samplingRatio`` shortens that pass.
     """
     reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.option("header", "true").option("mode", "FAILFAST")
     elif fmt == "json":
-        source = dict(columns or {})
-        reader = reader.schema(T.StructType([
-            *(T.StructField(source.get(f.name, f.name), f.dataType) for f in LEDGER_SCHEMA.fields),
-            *(T.StructField(source.get(k, k), T.StringType()) for k in keys),
-        ]))
-    return as_ledger(reader.load(path), columns, keys)
+        reader = reader.option("primitivesAsString", "true").option("mode", "FAILFAST")
+    df = reader.load(path)
+    if folders:
+        if year is None or "year" not in folders:
+            raise ValueError("folders need the report's year and the column of the year folders")
+        df = df.where(F.col(f"`{folders['year']}`") == year)
+        if "month" in folders:
+            df = df.where(F.col(f"`{folders['month']}`").between(1, 12))
+    return as_ledger(df, columns, keys)
 
 
 def read_ledger_table(
