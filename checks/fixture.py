@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import Reclass, ReportConfig
@@ -31,7 +31,7 @@ SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp_ntz, o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-    "l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+    "l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
 }
 
 
@@ -40,8 +40,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
-    """Orders as revenue of the customer's nation, returned items as expense of the part's
-    brand; ``keyed`` adds the region of customer or supplier as ``unit``."""
+    """Orders as revenue of the customer's nation, line items as postings of the part's brand:
+    returned ones expenses, all others of a kind no report asks for. ``keyed`` adds the region of
+    customer or supplier as ``unit``."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     revenue = (
@@ -52,9 +53,8 @@ def ledger(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
     )
     expense = (
         table(spark, sf_dir, "lineitem")
-        .where(F.col("l_returnflag") == "R")
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("kind", F.lit("EXPENSE"))
+        .withColumn("kind", F.when(F.col("l_returnflag") == "R", "EXPENSE").otherwise("Open item"))
     )
     keys: tuple[str, ...] = ()
     if keyed:
@@ -76,3 +76,12 @@ def ledger(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
     return as_ledger(revenue, revenue_columns, keys).unionByName(
         as_ledger(expense, expense_columns, keys)
     )
+
+
+def item_ledger(spark: SparkSession, sf_dir: str, account: Column, amount: Column) -> DataFrame:
+    """Every line item as an expense, with an account and amount of choice."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").alias("entry_date"), F.lit("Expense").alias("kind"), account.alias("account"),
+        F.col("l_returnflag").alias("sub_code"), amount.alias("amount"),
+    )
+    return as_ledger(items)

@@ -34,18 +34,26 @@ def money(column: str, negative: str = "outer") -> str:
 
 LEDGER = """ledger AS (
     SELECT CAST(o_orderdate AS DATE) AS entry_date, 'Revenue' AS kind, n_name AS account,
-           o_orderpriority AS sub_code, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+           o_orderpriority AS sub_code, CAST(o_totalprice AS DECIMAL(26,8)) AS amount,
            r_name AS unit
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
          JOIN region ON n_regionkey = r_regionkey
     UNION ALL
-    SELECT CAST(l_shipdate AS DATE), 'EXPENSE', p_brand, p_type,
-           CAST(l_extendedprice AS DECIMAL(18,2)), r_name
+    SELECT CAST(l_shipdate AS DATE), CASE WHEN l_returnflag = 'R' THEN 'EXPENSE' ELSE 'Open item' END,
+           p_brand, p_type, CAST(l_extendedprice AS DECIMAL(26,8)), r_name
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
          JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-    WHERE l_returnflag = 'R'
 )"""
 
+
+def item_ledger(account: str, amount: str) -> str:
+    return f"""ledger AS (
+    SELECT CAST(l_shipdate AS DATE) AS entry_date, 'Expense' AS kind, {account} AS account,
+           l_returnflag AS sub_code, CAST({amount} AS DECIMAL(26,8)) AS amount
+    FROM lineitem
+)"""
+
+
 LISTED = """listed(account, rank) AS (
     VALUES ('NATION_0', 1), ('NATION_1', 2), ('NATION_2', 3), ('NATION_3', 4), ('NATION_4', 5),
            ('NATION_5', 6), ('INVESTMENT', 7), ('NATION_6', 8)
@@ -71,7 +79,7 @@ def revenue_sums(keys: str) -> str:
 def dense_cells(key: str) -> str:
     """CTEs up to ``carried``; ``key`` is '' or 'unit'."""
     keys = f"{key}, " if key else ""
-    entities = f"(SELECT DISTINCT {key} FROM ledger)" if key else "(SELECT 1 AS one)"
+    entities = f"(SELECT DISTINCT {key} FROM sums)" if key else "(SELECT 1 AS one)"
     on_key = f"AND s.{key} = g.{key}" if key else ""
     grid_keys = f"g.{key}, " if key else ""
     return f"""{revenue_sums(keys)},
@@ -118,7 +126,7 @@ def total_row(source: str, keys: str, group: str) -> str:
 FROM {source} {group}"""
 
 
-def revenue_ctes(key: str = "") -> str:
+def revenue_ctes(key: str = "", ledger: str = LEDGER) -> str:
     """CTE ``revenue``: the numeric revenue matrix."""
     keys = f"{key}, " if key else ""
     if key:
@@ -129,7 +137,7 @@ def revenue_ctes(key: str = "") -> str:
         )
     else:
         totals = total_row("revenue_rows", "", "")
-    return f"""{LEDGER},
+    return f"""{ledger},
 {dense_cells(key)},
 revenue_rows AS (
     SELECT *, CAST({ROW_TOTAL} AS {MONEY}) AS total FROM (
@@ -197,8 +205,12 @@ def surplus_ctes(key: str = "", account: str = "INVESTMENT", as_zero: bool = Fal
 )"""
 
 
-def all_ctes(key: str = "", account: str = "INVESTMENT", as_zero: bool = False) -> str:
-    return ",\n".join([revenue_ctes(key), expense_ctes(key), surplus_ctes(key, account, as_zero)])
+def all_ctes(
+    key: str = "", account: str = "INVESTMENT", as_zero: bool = False, ledger: str = LEDGER
+) -> str:
+    return ",\n".join(
+        [revenue_ctes(key, ledger), expense_ctes(key), surplus_ctes(key, account, as_zero)]
+    )
 
 
 def text_months(negative: str = "outer", mark: bool = True) -> str:
@@ -214,20 +226,27 @@ def matrix_text(source: str) -> str:
     return f"SELECT row_type, label, rank, {text_months()} FROM {source}"
 
 
-BUNDLE = f"""{all_ctes("unit")},
+def bundle(key: str = "unit", ledger: str = LEDGER) -> str:
+    keys = f"{key}, " if key else ""
+    return f"""{all_ctes(key, ledger=ledger)},
 bundle AS (
-    SELECT unit, 'expense' AS section, row_type, label, rank, {MONTHS}, total, forecast_month
+    SELECT {keys}'expense' AS section, row_type, label, rank, {MONTHS}, total, forecast_month
     FROM expense
     UNION ALL
-    SELECT unit, 'revenue', row_type, label, rank, {MONTHS}, total, forecast_month FROM revenue
+    SELECT {keys}'revenue', row_type, label, rank, {MONTHS}, total, forecast_month FROM revenue
     UNION ALL
-    SELECT unit, 'surplus', 'detail', label, rank, {MONTHS}, total, CAST(NULL AS INTEGER)
+    SELECT {keys}'surplus', 'detail', label, rank, {MONTHS}, total, CAST(NULL AS INTEGER)
     FROM surplus
 )"""
 
 
-def html_lines() -> str:
+BUNDLE = bundle()
+
+
+def html_lines(key: str = "unit") -> str:
     """CTE ``lines``: body rows and an opening line per section and unit."""
+    keys = f"{key}, " if key else ""
+
     def cell(column: str) -> str:
         return (
             f"'<td>' || replace(replace(replace(coalesce({column}, ''), '&', '&amp;'), "
@@ -237,21 +256,21 @@ def html_lines() -> str:
     columns = ["label", *(f'"{m}"' for m in MONTH_LABELS), "total"]
     row = " || ".join(cell(c) for c in columns)
     heading = "".join(f"<th>{c}</th>" for c in ["label", *MONTH_LABELS, "total"])
-    opening = f'<table border="1"><thead><tr>{heading}</tr></thead><tbody>'
+    opening = f'<table border="1"><thead><tr align="center">{heading}</tr></thead><tbody>'
     return f"""texts AS (
-    SELECT unit, section, rank, label, {text_months()} FROM bundle WHERE section <> 'surplus'
+    SELECT {keys}section, rank, label, {text_months()} FROM bundle WHERE section <> 'surplus'
     UNION ALL
-    SELECT unit, section, rank, label, {text_months("inner")} FROM bundle WHERE section = 'surplus'
+    SELECT {keys}section, rank, label, {text_months("inner")} FROM bundle WHERE section = 'surplus'
 ),
 lines AS (
-    SELECT unit, section, rank, label,
+    SELECT {keys}section, rank, label,
            '<tr>' || {row} || '</tr>'
-           || CASE WHEN rank = max(rank) OVER (PARTITION BY unit, section)
+           || CASE WHEN rank = max(rank) OVER (PARTITION BY {keys}section)
                     AND (rank = 99 OR section = 'surplus')
                    THEN '</tbody></table>' ELSE '' END AS html
     FROM texts
     UNION ALL
-    SELECT DISTINCT unit, section, 0, '', '{opening}' FROM bundle
+    SELECT DISTINCT {keys}section, 0, '', '{opening}' FROM bundle
 )"""
 
 
@@ -311,15 +330,38 @@ def sign(column: str) -> str:
     return f"CASE WHEN {column} < 0 THEN 'neg' WHEN {column} >= 0 THEN 'pos' END"
 
 
-DOCUMENTS = f"""WITH {BUNDLE}, {html_lines()}
-    SELECT unit, section, 0 AS part_rank, '' AS part_label,
-           CASE section WHEN 'expense' THEN 'Expense' WHEN 'revenue' THEN 'Revenue'
-                ELSE 'Surplus' END || ' by month' AS title,
-           'Budget preview - ' || strftime(DATE '2001-09-15', '%d/%m/%Y') AS subject,
-           'Expense and revenue as of ' || strftime(DATE '2001-09-15', '%d/%m/%Y') AS intro,
-           string_agg(html, '' ORDER BY rank, label) AS html
-    FROM lines GROUP BY unit, section"""
-
+def documents(key: str = "unit", ledger: str = LEDGER) -> str:
+    keys = f"{key}, " if key else ""
+    day = "strftime(DATE '2001-09-15', '%d/%m/%Y')"
+    return f"""WITH {bundle(key, ledger)}, {html_lines(key)}
+    SELECT {keys}section, rank AS part_rank, label AS part_label,
+           CASE WHEN rank = 0 THEN CASE section WHEN 'expense' THEN 'Expense' WHEN 'revenue' THEN 'Revenue'
+                ELSE 'Surplus' END || ' by month' END AS title,
+           CASE WHEN rank = 0 THEN 'Budget preview - ' || {day} END AS subject,
+           CASE WHEN rank = 0 THEN 'Expense and revenue as of ' || {day} END AS intro, html
+    FROM lines"""
+
+
+SUBCENT = item_ledger(
+    "'Brand#' || (l_partkey % 20)",
+    "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(12,2)))",
+)
+SUBCENT_MATRIX = f"""WITH {SUBCENT},
+raw AS (
+    SELECT *, {ROW_TOTAL} AS total FROM (
+        SELECT upper(account) AS account, {filtered("sum", "amount", "month(entry_date)")}
+        FROM ledger WHERE year(entry_date) = 2001 GROUP BY 1
+    )
+)
+SELECT 'detail' AS row_type, account AS label, {EXPENSE_RANK.format('account')} AS rank,
+       {", ".join(f'CAST("{m}" AS {MONEY}) AS "{m}"' for m in [*MONTH_LABELS, "total"])},
+       CAST(NULL AS INTEGER) AS forecast_month
+FROM raw
+UNION ALL
+{total_row("raw", "", "")}"""
+LONG = item_ledger(
+    "concat_ws('-', 'item', l_orderkey, l_linenumber, l_partkey, l_suppkey)", "l_extendedprice"
+)
 
 ORACLES: dict[str, str] = {
     "year_kind_filter": f"""WITH {LEDGER}
@@ -376,9 +418,12 @@ ORACLES: dict[str, str] = {
     "keyed_surplus": f"WITH {all_ctes('unit')} SELECT * FROM surplus",
     "report_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
     "document_lines": f"WITH {BUNDLE}, {html_lines()} SELECT * FROM lines",
-    "report_documents": DOCUMENTS,
-    "delivered_documents": DOCUMENTS,
-    "written_report_roundtrip": f"WITH {all_ctes()} SELECT * FROM surplus",
+    "report_documents": documents(),
+    "delivered_documents": documents(),
+    "long_section_documents": documents("", LONG),
+    "subcent_expense_matrix": SUBCENT_MATRIX,
+    "surplus_of_written_matrices": f"WITH {all_ctes()} SELECT * FROM surplus",
+    "written_report_roundtrip": f"WITH {BUNDLE} SELECT * FROM bundle",
     "money_format": f"""WITH amounts AS (
             SELECT l_orderkey, l_linenumber, {LINE_AMOUNT} AS amount FROM lineitem
         ) SELECT l_orderkey, l_linenumber, {money("amount")} AS outer_text,
@@ -396,6 +441,10 @@ ORACLES: dict[str, str] = {
     "case_insensitive_accounts": f"WITH {LEDGER}, {revenue_sums('')} SELECT * FROM sums",
     "named_query": f"""WITH {revenue_ctes()}
         SELECT label, {text_months()} FROM revenue""",
+    "named_expense_query": f"""WITH {LEDGER}, {expense_ctes()}
+        SELECT label, {text_months()} FROM expense""",
+    "named_surplus_query": f"""WITH {all_ctes("unit")}
+        SELECT unit, label, {text_months("inner", mark=False)} FROM surplus""",
     "named_sql_query": f"""WITH {LEDGER}
         SELECT sub_code, CAST(sum(amount) AS {MONEY}) AS amount
         FROM ledger WHERE year(entry_date) = 2001 AND kind = 'EXPENSE' GROUP BY sub_code""",

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixture import CONFIG, ledger, table
+from checks.fixture import CONFIG, item_ledger, ledger, table
 from ledgerloom.config import BRL, BRL_INNER, BRL_POINT, MONEY, label_text
 from ledgerloom.functions.dates import (
     day_text,
@@ -63,17 +63,18 @@ MONTHS = CONFIG.month_labels
 UNIT = ["unit"]
 
 
-def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger(spark, sf_dir, keyed=True).select("unit").distinct()
-
-
 def sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_sums(ledger(spark, sf_dir, keyed=True), CONFIG, CONFIG.revenue_kind, UNIT)
 
 
+def units(cells: DataFrame) -> DataFrame:
+    """Entities with revenue in the year, from its sums."""
+    return cells.select("unit").distinct()
+
+
 def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = month_account_grid(units(spark, sf_dir), CONFIG)
-    return densify(grid, sums(spark, sf_dir), UNIT)
+    cells = sums(spark, sf_dir)
+    return densify(month_account_grid(units(cells), CONFIG), cells, UNIT)
 
 
 def carried(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +114,7 @@ def q_reclassified_month_sum(spark, sf_dir):
 
 
 def q_month_account_grid(spark, sf_dir):
-    grid = month_account_grid(units(spark, sf_dir), CONFIG)
+    grid = month_account_grid(units(sums(spark, sf_dir)), CONFIG)
     key = month_key(F.col("month"))
     return grid.select(
         "unit",
@@ -166,7 +167,7 @@ def _sub_code_pivot(spark, sf_dir, year):
 def q_row_totals(spark, sf_dir):
     months = [F.col(m) for m in MONTHS]
     return _sub_code_pivot(spark, sf_dir, CONFIG.year).select(
-        "sub_code", row_total(months).alias("total"), any_value(months).alias("any_value")
+        "sub_code", row_total(months).cast(MONEY).alias("total"), any_value(months).alias("any_value")
     )
 
 
@@ -230,22 +231,41 @@ def q_expense_matrix_text(spark, sf_dir):
     return matrix_text(ordered(expense_matrix(ledger(spark, sf_dir), CONFIG)), CONFIG)
 
 
-def _surplus_of_matrices(spark, sf_dir, cfg):
-    postings = ledger(spark, sf_dir)
-    return surplus(revenue_matrix(postings, cfg), expense_matrix(postings, cfg), cfg)
-
-
 def q_surplus_row(spark, sf_dir):
-    return _surplus_of_matrices(spark, sf_dir, replace(CONFIG, excluded_account=None))
+    return surplus_table(ledger(spark, sf_dir), replace(CONFIG, excluded_account=None))
 
 
 def q_surplus_excluding_account(spark, sf_dir):
-    both = _surplus_of_matrices(spark, sf_dir, CONFIG)
+    both = surplus_table(ledger(spark, sf_dir), CONFIG)
     return both.where(F.col("label") == CONFIG.surplus_excluding_label)
 
 
 def q_surplus_excluding_missing_account(spark, sf_dir):
-    return _surplus_of_matrices(spark, sf_dir, replace(CONFIG, excluded_account="no such account"))
+    return surplus_table(ledger(spark, sf_dir), replace(CONFIG, excluded_account="no such account"))
+
+
+def q_surplus_of_written_matrices(spark, sf_dir):
+    """Both matrices written first, the differences made from what was written."""
+    folder = scratch_folder(spark)
+    write_report(report_bundle(ledger(spark, sf_dir), CONFIG), CONFIG, folder)
+    written = spark.read.parquet(folder)
+    revenue, expense = (written.where(F.col("section") == s) for s in ("revenue", "expense"))
+    return surplus(revenue, expense, CONFIG)
+
+
+def q_subcent_expense_matrix(spark, sf_dir):
+    """Amounts of four decimals, rounded to cents after all sums."""
+    price, discount = (F.col(c).cast("decimal(12,2)") for c in ("l_extendedprice", "l_discount"))
+    brand = F.concat(F.lit("Brand#"), F.col("l_partkey") % 20)
+    postings = item_ledger(spark, sf_dir, brand, price * (1 - discount))
+    return ordered(expense_matrix(postings, CONFIG))
+
+
+def q_long_section_documents(spark, sf_dir):
+    """One account per line item: a section of as many lines as the year has items."""
+    item = F.concat_ws("-", F.lit("item"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    postings = item_ledger(spark, sf_dir, item, F.col("l_extendedprice").cast("decimal(12,2)"))
+    return report_documents(report_bundle(postings, CONFIG), CONFIG)
 
 
 def q_surplus_missing_as_zero(spark, sf_dir):
@@ -288,13 +308,9 @@ def q_report_documents(spark, sf_dir):
 
 def q_written_report_roundtrip(spark, sf_dir):
     folder = scratch_folder(spark)
-    write_report(report_bundle(ledger(spark, sf_dir), CONFIG), CONFIG, folder)
-    # A filter on the folders: only the surplus files are opened.
-    return (
-        spark.read.parquet(folder)
-        .where((F.col("report_year") == CONFIG.year) & (F.col("section") == "surplus"))
-        .select("label", "rank", *MONTHS, "total")
-    )
+    bundle = report_bundle(ledger(spark, sf_dir, keyed=True), CONFIG, UNIT)
+    write_report(bundle, CONFIG, folder)
+    return spark.read.parquet(folder).where(F.col("report_year") == CONFIG.year).select(bundle.columns)
 
 
 def q_delivered_documents(spark, sf_dir):
@@ -353,6 +369,14 @@ def q_named_query(spark, sf_dir):
     return default_registry().run("revenue", ledger(spark, sf_dir), CONFIG)
 
 
+def q_named_expense_query(spark, sf_dir):
+    return default_registry().run("expense", ledger(spark, sf_dir), CONFIG)
+
+
+def q_named_surplus_query(spark, sf_dir):
+    return default_registry().run("surplus", ledger(spark, sf_dir, keyed=True), CONFIG, UNIT)
+
+
 def q_named_sql_query(spark, sf_dir):
     registry = default_registry()
     registry["expense codes"] = NamedQuery.from_sql(
