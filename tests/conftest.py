@@ -16,8 +16,11 @@ from ledgerloom.sources.ledger import LEDGER_SCHEMA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, shuffle_partitions=4, **{"spark.driver.memory": "4g"})
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session(
+        8, shuffle_partitions=4, **{"spark.driver.memory": "4g", "spark.sql.warehouse.dir": warehouse}
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

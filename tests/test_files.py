@@ -6,7 +6,6 @@ from dataclasses import replace
 from datetime import date
 from decimal import Decimal
 from pathlib import Path
-from types import SimpleNamespace
 
 import pytest
 from conftest import as_dicts
@@ -53,7 +52,7 @@ def test_as_ledger_maps_and_casts(spark):
     assert [f.dataType for f in df.schema][:5] == [f.dataType for f in LEDGER_SCHEMA]
     assert as_dicts(df)[0] == {
         "entry_date": date(2001, 2, 3), "kind": "Revenue", "account": "A", "sub_code": "7",
-        "amount": Decimal("1.24"), "unit": 9,
+        "amount": Decimal("1.23500000"), "unit": "9",
     }
     with pytest.raises(ValueError, match=r"lacks columns \['amount'\]"):
         as_ledger(source, {k: v for k, v in columns.items() if k != "amount"}, ["unit"])
@@ -146,7 +145,7 @@ def test_written_sections(spark, postings, tmp_path, fmt):
     path = str(tmp_path / fmt)
     bundle = report_bundle(postings, CFG, ["unit"])
     write_report(bundle, CFG, path, fmt)
-    assert sorted(p.name for p in Path(path, "report_year=2001").iterdir()) == [
+    assert sorted(p.name for p in Path(path, "report_year=2001").glob("section=*")) == [
         "section=expense", "section=revenue", "section=surplus"
     ]
     back = spark.read.format(fmt).schema(bundle.schema).option("header", "true").load(path)
@@ -166,18 +165,37 @@ def test_a_rerun_replaces_its_own_year_only(spark, postings, tmp_path):
 def test_extra_folders(postings, tmp_path):
     path = str(tmp_path / "by_unit")
     write_report(report_bundle(postings, CFG, ["unit"]), CFG, path, partition_by=["unit"])
-    assert Path(path, "report_year=2001", "unit=u1", "section=surplus").is_dir()
+    assert Path(path, "report_year=2001", "unit_folder=u1", "section=surplus").is_dir()
+
+
+def test_key_folders_leave_the_key_as_it_is(spark, make_ledger, tmp_path):
+    path = str(tmp_path / "numbered")
+    rows = [(1, "Revenue", "A", "c", 5, f"00{i}") for i in range(3)]
+    write_report(report_bundle(make_ledger(rows, keyed=True), CFG, ["unit"]), CFG, path, partition_by=["unit"])
+    assert {r.unit for r in spark.read.parquet(path).collect()} == {"000", "001", "002"}
+
+
+def joined(documents) -> dict[tuple, dict]:
+    """Lines of each section in reading order, put together."""
+    out: dict[tuple, dict] = {}
+    for line in as_dicts(documents.orderBy("part_rank", "part_label")):
+        key = tuple(line[c] for c in ("unit", "section") if c in line)
+        if key not in out:
+            assert line["part_rank"] == 0 and line["part_label"] == ""
+            out[key] = line
+        else:
+            assert line["title"] is None and line["subject"] is None and line["intro"] is None
+            out[key]["html"] += line["html"]
+    return out
 
 
 def test_documents(postings):
-    documents = as_dicts(report_documents(report_bundle(postings, CFG, ["unit"]), CFG, ["unit"]))
-    assert len(documents) == 6
-    by = {(d["unit"], d["section"]): d for d in documents}
+    by = joined(report_documents(report_bundle(postings, CFG, ["unit"]), CFG, ["unit"]))
+    assert len(by) == 6
     revenue = by[None, "revenue"]
-    assert revenue["part_rank"] == 0 and revenue["part_label"] == ""
     assert revenue["subject"].endswith("05/09/2001") and revenue["intro"].endswith("05/09/2001")
     html = revenue["html"]
-    assert html.startswith('<table border="1"><thead><tr><th>label</th><th>jan</th>')
+    assert html.startswith('<table border="1"><thead><tr align="center"><th>label</th><th>jan</th>')
     assert html.endswith("</tr></tbody></table>") and html.count("<table") == 1
     assert html.index("<td>A</td>") < html.index("<td>B</td>") < html.index("<td>TOTAL</td>")
     assert "<td>R$ 700,00 (P)</td>" in html and "<td></td>" in html and "null" not in html.lower()
@@ -185,7 +203,14 @@ def test_documents(postings):
     assert "<td>R$ -" not in by["u1", "revenue"]["html"]
     # Surplus text puts the minus inside.
     assert "<td>R$ -268,00</td>" in by["u1", "surplus"]["html"]
-    assert by["u1", "surplus"]["html"].count("<tr>") == 3
+    assert by["u1", "surplus"]["html"].count("<tr") == 3
+
+
+def test_headings_are_settings(postings):
+    cfg = replace(CFG, label_heading="Group", total_heading="Year & all")
+    by = joined(report_documents(report_bundle(postings, cfg), cfg))
+    assert "<th>Group</th><th>jan</th>" in by["surplus",]["html"]
+    assert "<th>Year &amp; all</th></tr>" in by["surplus",]["html"]
 
 
 def test_currency_symbol_is_escaped(postings):
@@ -195,22 +220,14 @@ def test_currency_symbol_is_escaped(postings):
     assert "<td>&lt;&amp;&gt; 1.400,00 (P)</td>" in html and "<&>" not in html
 
 
-def test_long_sections_come_in_parts(postings):
-    bundle = report_bundle(postings, CFG, ["unit"])
-    whole = {
-        (d["unit"], d["section"]): d["html"] for d in as_dicts(report_documents(bundle, CFG, ["unit"]))
-    }
-    parts = report_documents(bundle, CFG, ["unit"], max_rows=10).orderBy("part_rank", "part_label")
-    joined: dict[tuple, str] = {}
-    count: dict[tuple, int] = {}
-    for part in as_dicts(parts):
-        key = part["unit"], part["section"]
-        joined[key] = joined.get(key, "") + part["html"]
-        count[key] = count.get(key, 0) + 1
-    assert joined == whole
-    assert count == {
-        (u, s): 33 if s == "expense" else 1 for u in ("u1", None) for s in ("expense", "revenue", "surplus")
-    }
+def test_long_sections_have_the_same_shape(make_ledger):
+    rows = [(1, "Expense", f"Cost {i:05}", "c", 1, u) for i in range(3000) for u in ("hot",)] + [(1, "Expense", "x", "c", 1, "small")]
+    documents = report_documents(report_bundle(make_ledger(rows, keyed=True), CFG, ["unit"]), CFG, ["unit"])
+    lines = documents.where("section = 'expense'").groupBy("unit").count().collect()
+    # opening line, details, total
+    assert {r["unit"]: r["count"] for r in lines} == {"hot": 3002, "small": 3}
+    html = joined(documents)["hot", "expense"]["html"]
+    assert html.count("<tr>") == 3001 and html.index("COST 00009<") < html.index("COST 02999<") < html.index("TOTAL")
 
 
 def test_documents_are_written_like_reports(spark, postings, tmp_path):
@@ -225,14 +242,76 @@ def test_documents_are_written_like_reports(spark, postings, tmp_path):
 def test_delivery(spark, postings, tmp_path):
     postings.write.parquet(str(tmp_path / "ledger"))
     ledger = spark.read.parquet(str(tmp_path / "ledger"))
-    for max_rows in (5000, 10):
-        tables, documents = deliver_report(ledger, CFG, str(tmp_path / "out"), ["unit"], max_rows)
-        bundle = report_bundle(ledger, CFG, ["unit"])
-        back = spark.read.parquet(tables).select(bundle.columns)
-        assert sorted(map(str, back.collect())) == sorted(map(str, bundle.collect()))
-        expected = report_documents(bundle, CFG, ["unit"], max_rows)
-        back = spark.read.parquet(documents).select(expected.columns)
-        assert sorted(map(str, back.collect())) == sorted(map(str, expected.collect()))
+    tables, documents = deliver_report(ledger, CFG, str(tmp_path / "out"), ["unit"])
+    bundle = report_bundle(ledger, CFG, ["unit"])
+    back = spark.read.parquet(tables).select(bundle.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, bundle.collect()))
+    expected = report_documents(bundle, CFG, ["unit"])
+    back = spark.read.parquet(documents).select(expected.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_a_rerun_leaves_nothing_of_the_run_before(spark, postings, tmp_path):
+    folder = str(tmp_path / "out")
+    deliver_report(postings, CFG, folder, ["unit"])
+    other = replace(CFG, year=2002)
+    deliver_report(postings.withColumn("entry_date", F.add_months("entry_date", 12)), other, folder, ["unit"])
+    tables, documents = deliver_report(postings.limit(0), CFG, folder, ["unit"])
+    for path in (tables, documents):
+        assert not [p for p in Path(path, "report_year=2001").rglob("*.parquet") if spark.read.parquet(str(p)).count()]
+        assert spark.read.parquet(path + "/report_year=2002").count() > 0
+
+
+JSON_LINES = {
+    "text as amount": '{"entry_date":"2001-01-02","kind":"Revenue","account":"A","sub_code":"c","amount":"ten"}',
+    "date of another order": '{"entry_date":"02/01/2001","kind":"Revenue","account":"A","sub_code":"c","amount":1}',
+    "overflow": '{"entry_date":"2001-01-02","kind":"Revenue","account":"A","sub_code":"c","amount":1e30}',
+    "broken": '{"entry_date":"2001-01-02","kind":',
+}
+GOOD = '{"entry_date":"2001-01-02","kind":"Revenue","account":"A","sub_code":7,"amount":100.0040}'
+
+
+@pytest.mark.parametrize("bad", JSON_LINES)
+def test_json_that_does_not_fit_fails(spark, tmp_path, bad):
+    path = tmp_path / "ledger.json"
+    path.write_text(GOOD + "\n" + JSON_LINES[bad] + "\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CAST_OVERFLOW|NUMERIC_VALUE_OUT_OF_RANGE|[Mm]alformed|MALFORMED"):
+        report_bundle(read_ledger(spark, str(path), "json"), CFG).collect()
+
+
+def test_json_columns_are_checked(spark, tmp_path):
+    path = tmp_path / "ledger.json"
+    path.write_text(GOOD + "\n")
+    with pytest.raises(ValueError, match="amounts"):
+        read_ledger(spark, str(path), "json", {"amount": "amounts"})
+    (row,) = as_dicts(read_ledger(spark, str(path), "json"))
+    assert row["amount"] == Decimal("100.004") and row["sub_code"] == "7"
+
+
+def test_names_without_case(spark):
+    source = spark.sql("SELECT DATE'2001-01-01' AS ENTRY_DATE, 'Revenue' AS Kind, 'A' AS ACCOUNT, 'c' AS SUB_CODE, 1 AS Amount")
+    assert as_ledger(source).columns == LEDGER_SCHEMA.names
+
+
+def test_amounts_are_summed_as_precise_as_they_come(spark):
+    source = spark.range(1000).selectExpr(
+        "DATE'2001-01-01' AS entry_date", "'Revenue' AS kind", "'A' AS account", "'c' AS sub_code",
+        "CAST(0.0040 AS DECIMAL(19,4)) AS amount")
+    ledger = as_ledger(source)
+    assert {r["total"] for r in as_dicts(report_bundle(ledger, CFG).where("section = 'revenue'"))} == {Decimal("4.00")}
+    with pytest.raises(ValueError, match="more decimals"):
+        as_ledger(source.withColumn("amount", F.col("amount").cast("decimal(20,10)")))
+
+
+@pytest.mark.parametrize("key", ["html", "opens", "title", "subject", "part_label", "LINE", "revenue_jan", "expense_total"])
+def test_keys_named_like_report_columns_are_refused(postings, key):
+    with pytest.raises(ValueError, match="rename"):
+        report_bundle(postings.withColumnRenamed("unit", key), CFG, [key])
+
+
+def test_month_labels_named_like_report_columns_are_refused():
+    with pytest.raises(ValueError, match="total"):
+        replace(CFG, month_labels=("Total", *CFG.month_labels[1:]))
 
 
 def test_lines_without_an_excluded_account(postings):
@@ -246,14 +325,13 @@ def test_lines_without_an_excluded_account(postings):
 class ClusterSession:
     """Session of a cluster, as far as ``scratch_folder`` looks at one."""
 
-    def __init__(self, folder):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = SimpleNamespace(master="spark://somewhere")
+    def __init__(self, **conf):
+        self.conf = {k.replace("_", "."): v for k, v in conf.items()}
 
 
-def test_scratch_folder(spark, tmp_path):
+def test_scratch_folder(spark):
     assert scratch_folder(spark) != scratch_folder(spark)
-    first, second = (scratch_folder(ClusterSession("hdfs:///shared/")) for _ in range(2))
+    warehouse = {"spark_sql_warehouse_dir": "hdfs:///warehouse"}
+    first, second = (scratch_folder(ClusterSession(spark_checkpoint_dir="hdfs:///shared/", **warehouse)) for _ in range(2))
     assert first != second and first.startswith("hdfs:///shared/") and "//" not in first[8:]
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(ClusterSession(None))
+    assert scratch_folder(ClusterSession(**warehouse)).startswith("hdfs:///warehouse/")

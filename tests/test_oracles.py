@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as contract
 from checks.compare import duck, mismatch
 from checks.fixture import CONFIG, ledger
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 from ledgerloom import surplus_table
 from ledgerloom.config import MONTH_LABELS
 
 SMALL = "/root/testdata/sf0.001"
+ROOT = Path(__file__).resolve().parent.parent
 
 
 @pytest.fixture(scope="module")
@@ -21,10 +27,21 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_entry_without_the_training_data_queries():
+    """The subpackage and the pipeline may be gone; any other missing module is an error."""
+    code = "import sys; sys.modules[{!r}] = None; import __spark_entry__ as e; print(*sorted(e.queries()))"
+    for name in ("ledgerloom.llm", "corpus_pipeline"):
+        run = subprocess.run([sys.executable, "-c", code.format(name)], capture_output=True, text=True, cwd=ROOT)
+        assert run.stdout.split() == sorted(QUERIES), run.stderr
+    run = subprocess.run([sys.executable, "-c", code.format("numpy.linalg")], capture_output=True, text=True, cwd=ROOT)
+    assert run.returncode
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     assert mismatch(spark, connection, SMALL, name) is None
 

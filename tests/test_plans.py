@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,10 +20,11 @@ from ledgerloom import (
     surplus_table,
 )
 from ledgerloom.functions.money import format_money, parse_money
-from ledgerloom.operators import lookup as lookup_module
+from checks.queries import QUERIES
 from ledgerloom.operators.cells import densify, month_account_grid, month_sums
+from ledgerloom.operators.lookup import lookup
 from ledgerloom.sources.ledger import read_ledger
-from ledgerloom.sources.sinks import report_documents
+from ledgerloom.sources.sinks import in_reading_order, report_documents
 
 CFG = ReportConfig(
     year=2001,
@@ -126,26 +129,78 @@ def test_money_is_codegen_only(spark, stored):
     assert "Python" not in plan and re.search(r"\*\(\d+\) Project", plan)
 
 
-def test_large_settings_are_broadcast_only_below_the_threshold(spark, monkeypatch):
-    df = spark.range(10).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
-    table = {(f"k{i}",): i for i in range(0, 200, 2)}
-
-    def looked_up():
-        return lookup_module.lookup(df, [F.col("k")], table, "v", F.lit(-1))
-
-    def planned(df_):
-        return df_._jdf.queryExecution().sparkPlan().toString()
-
-    plan = planned(looked_up())
-    assert "BroadcastHashJoin" in plan and "ExistingRDD" not in plan
-    expected = sorted(looked_up().collect())
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+@pytest.mark.parametrize("entries", [1, 1000])
+def test_settings_move_no_rows(spark, stored, entries):
+    rules = tuple(Reclass(f"A{i % 7}", f"c{i}", f"A{(i + 1) % 3}") for i in range(entries))
+    ledger = read_ledger(spark, stored, keys=UNIT)
+    cfg = replace(CFG, reclass=rules)
+    plan = run_plan(revenue_matrix(ledger, cfg, UNIT))
+    assert "Join" not in plan and plan.count("FileScan") == 1
+    below_scan = plan[: plan.index("FileScan")]
+    assert "partial_sum(amount" in below_scan[below_scan.rindex("Exchange hashpartitioning"):]
+    targets = cfg.reclass_targets
+    moved: dict[str, Decimal] = {}
+    for r in ledger.where("kind = 'Revenue' AND year(entry_date) = 2001").collect():
+        account = targets.get((r.account, r.sub_code.upper()), r.account)
+        moved[account] = moved.get(account, Decimal(0)) + r.amount
+    got = {}
+    for r in revenue_matrix(ledger, replace(cfg, as_of=date(2003, 1, 1))).where("row_type = 'detail'").collect():
+        got[r.label] = r.total
+    assert got == {a: t for a, t in moved.items() if a in ("A0", "A1", "A2")}
+
+
+def test_lookup_of_missing_and_null_keys(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), (None, "x"), ("b", "x")], "k string, l string")
+    one = lookup(df, [F.col("k")], {("a",): 1, ("c",): 3}, "v", F.lit(-1))
+    assert [r.v for r in one.collect()] == [1, 1, -1, -1]
+    two = lookup(df, [F.col("k"), F.col("l")], {("a", "x"): 1}, "v", F.lit(-1))
+    assert [r.v for r in two.collect()] == [1, -1, -1, -1]
+
+
+def test_documents_have_one_plan_for_any_length(spark, stored, tmp_path):
+    short = str(tmp_path / "short")
+    spark.read.parquet(stored).limit(5).write.parquet(short)
+    plans = []
+    for path in (short, stored):
+        ledger = read_ledger(spark, path, keys=UNIT)
+        documents = in_reading_order(report_documents(report_bundle(ledger, CFG, UNIT), CFG, UNIT), UNIT)
+        plan = documents._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "collect_list" not in plan
+        plans.append(re.sub(r"#\d+L?", "", plan))
+    assert plans[0] == plans[1]
+
+
+LONG_FORM = ["month_account_grid", "densified_cells", "previous_month_value", "carried_cells", "revenue_pivot", "forecast_text_pivot"]
+
+
+@pytest.mark.parametrize("name", LONG_FORM)
+def test_long_form_reads_the_year_only(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     try:
-        assert "SortMergeJoin" in planned(looked_up())
-        assert sorted(looked_up().collect()) == expected
+        plan = run_plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    monkeypatch.setattr(lookup_module, "INLINE_ENTRIES", 1000)
-    assert "Join" not in planned(looked_up())
-    assert sorted(looked_up().collect()) == expected
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = re.findall(r"FileScan parquet \[[ol]_.*?PushedFilters: \[(.*?)\], ReadSchema", plan)
+    assert scans and all(re.search(r"GreaterThanOrEqual\([ol]_\w+date,2001-01-01", pushed) for pushed in scans)
+
+
+@pytest.mark.parametrize("name", ["surplus_row", "surplus_excluding_account", "surplus_excluding_missing_account"])
+def test_differences_read_each_table_once(spark, name):
+    plan = run_plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan parquet [o_") == 1 and plan.count("FileScan parquet [l_") == 1
+
+
+@pytest.mark.parametrize("folders", [{"year": "y"}, {"year": "y", "month": "m"}])
+def test_year_and_month_folders_are_pruned(spark, stored, tmp_path, folders):
+    path = str(tmp_path / "by_folder")
+    parts = {"y": F.year("entry_date"), "m": F.month("entry_date")}
+    spark.read.parquet(stored).withColumns({c: parts[c] for c in folders.values()}).write.partitionBy(*folders.values()).parquet(path)
+    ledger = read_ledger(spark, path, keys=UNIT, year=2001, folders=folders)
+    plan = run_plan(report_bundle(ledger, CFG, UNIT))
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+    assert len(filters) == 1 and re.search(r"y#\d+ = 2001", filters[0])
+    assert ("m#" in filters[0]) == ("month" in folders)
+    whole = report_bundle(read_ledger(spark, stored, keys=UNIT), CFG, UNIT)
+    assert sorted(map(str, report_bundle(ledger, CFG, UNIT).collect())) == sorted(map(str, whole.collect()))
+    with pytest.raises(ValueError, match="year"):
+        read_ledger(spark, path, folders=folders)
