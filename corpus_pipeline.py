@@ -8,19 +8,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import quality_rules
+from ledgerloom.llm import bpe, mixing, ngram_jaccard, quality_rules, suffix_array_dedup
 from ledgerloom.llm.shared import keep, table
 
+#: Near duplicates among documents: sets of five-word runs, similarity of 0.8 or more.
+NEAR = ngram_jaccard.Measure(gram=5, percent=80)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass all rules."""
     return quality_rules.accepted(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest doc_id."""
+    return ngram_jaccard.representatives(docs, NEAR)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the 200-byte strings that occur anywhere else."""
+    return suffix_array_dedup.shortened(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every source at its target weight: documents repeated or left out, in shuffled order."""
+    return mixing.mixed(docs).drop("_copy", "_order")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and a digest of the text they decode to."""
+    found = bpe.tokenized(docs.select("doc_id", "source", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality),
+    ("ngram_jaccard", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
+    ("mix_sources", mix),
+    ("bpe", tokens),
 ]
 #: Several stages have no SQL form; tests hold the result against plain Python.
 ORACLE_SQL = None

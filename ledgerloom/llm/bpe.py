@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import spread
+from .shared import in_small_batches
 
 #: Words, and pairs of tokens, whose results a worker remembers at most.
 CACHE_ENTRIES = 300_000
@@ -223,12 +224,17 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
 
 def _beside(rows: DataFrame, source: str, work, kind: T.DataType, name: str) -> DataFrame:
-    packed = rows.select(F.col(f"`{source}`").alias("ids"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"))
+    packed = in_small_batches(rows).select(F.col(f"`{source}`").alias("ids"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"))
     schema = T.StructType([T.StructField("ids", kind), T.StructField("_row", packed.schema["_row"].dataType)])
     out = packed.mapInArrow(work, schema)
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in rows.columns if c != name], F.col("ids").alias(name))
 
 
+def tokenized(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with ``ids``, their number ``n_tokens``, and the text ``decoded`` from them."""
+    return decode(encode(docs, path).withColumn("n_tokens", F.size("ids").cast("long")), path)
+
+
 def report(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: number and digest of its ids, digest of what they decode to."""
 
@@ -243,6 +249,6 @@ def report(docs: DataFrame, path: str) -> DataFrame:
                 pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(
         work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

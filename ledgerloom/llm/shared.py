@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a batch that goes to a Python worker: texts are large, so far fewer than Spark's default.
+BATCH_ROWS = 1000
 #: Stands for a null doc_id in keys; sorts before every other.
 NO_ID = -(2**63)
 
@@ -24,8 +27,24 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(kept: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A kept table of a few numbers per row, marked for broadcast if its counted size allows;
+    else Spark joins it as it would any table."""
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends at most ``BATCH_ROWS`` rows at a time to Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # where the driver found this package by its own path only, workers look there too
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    return in_small_batches(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def doc_key() -> Column:
@@ -40,7 +59,7 @@ def doc_id_of(key: Column) -> Column:
 def identified(docs: DataFrame) -> DataFrame:
     """``_d`` and ``_t`` identify a document (rows equal in doc_id and text are one); ``_row``
     holds all columns of the input, so that none can clash with names used here."""
-    return docs.select(
+    return in_small_batches(docs).select(
         doc_key().alias("_d"),
         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_t"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),

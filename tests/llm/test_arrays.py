@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ledgerloom.llm.arrays import Stretches, chunks, sliding_min, spread
+
+from . import plain
+
+texts = st.lists(st.one_of(st.none(), st.text(alphabet="aB é\t\n\x0b\x1f…", max_size=12)), max_size=8)
+
+
+@given(texts, st.integers(1, 20))
+def test_chunks_give_the_words_of_every_text(found, limit):
+    got = []
+    for chunk in chunks(pa.array(found, pa.string()), limit):
+        starts, ends, bounds = chunk.words()
+        data = chunk.data.tobytes()
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            got.append([data[a:b].decode() for a, b in zip(starts[lo:hi], ends[lo:hi])])
+    assert got == [plain.words(t) for t in found]
+
+
+def test_chunks_of_a_slice():
+    column = pa.array(["a", None, "b c", "d"]).slice(1, 2)
+    assert [bytes(c.data) for c in chunks(column, 1)] == [b"", b"b c"]
+
+
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=40))
+def test_equal_stretches_have_equal_hashes_and_others_not(values):
+    hashed = Stretches(np.array(values, dtype=np.uint64) + np.uint64(7))
+    spans = [(i, j) for i in range(len(values)) for j in range(i, len(values) + 1)]
+    got = hashed(np.array([a for a, _ in spans]), np.array([b for _, b in spans]))
+    by = {}
+    for (a, b), h in zip(spans, got.tolist()):
+        assert by.setdefault(h, values[a:b]) == values[a:b]
+    assert len(by) == len({tuple(values[a:b]) for a, b in spans})
+    assert hashed.every(2).tolist() == [h for (a, b), h in zip(spans, got.tolist()) if b - a == 2]
+
+
+@given(st.lists(st.integers(0, 9), max_size=30), st.integers(1, 7))
+def test_sliding_min(values, width):
+    got = sliding_min(np.array(values, dtype=np.uint64), width).tolist()
+    assert got == [min(values[i: i + width]) for i in range(len(values) - width + 1)]
+
+
+@settings(max_examples=30)
+@given(st.lists(st.tuples(st.integers(0, 50), st.integers(0, 4)), max_size=6))
+def test_spread(parts):
+    got = spread(np.array([a for a, _ in parts], dtype=np.int64), np.array([n for _, n in parts], dtype=np.int64))
+    assert got.tolist() == [a + i for a, n in parts for i in range(n)]

@@ -1,0 +1,93 @@
+"""op1 and op3, which are built-in expressions only."""
+
+from __future__ import annotations
+
+import statistics
+from collections import Counter
+
+import pytest
+
+from ledgerloom.llm import mixing, quality_rules
+
+from . import plain
+
+SF = "/root/testdata/sf0.001/documents.parquet"
+TEXTS = [
+    None, "", " \n\t", "one", "one\ntwo\none\n \n", "a b c a b c a b", "x " * 300, "the # cat | sat & on < it >",
+    "é ü ß " * 40 + "the and of", "word\x0bother\x0cthird\x1fsame", "WOW!! " * 60, "é " * 5,
+    " ".join(f"the w{i}" for i in range(20_000)),
+]
+
+
+def counts(text):
+    words = plain.words(text)
+    lines = [x for x in (text or "").split("\n") if plain.words(x)]
+    windows = Counter(tuple(words[i: i + 3]) for i in range(len(words) - 2))
+    repeated = {j for i in range(len(words) - 2) if windows[tuple(words[i: i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    return (len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"),
+            len(lines) - len(set(lines)), len(repeated))
+
+
+def test_rules_on_edge_texts(make_docs):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, TEXTS[6]), (6, TEXTS[6])]
+    got = quality_rules.report(make_docs(rows)).collect()
+    want = []
+    for doc_id, text in rows:
+        n, chars, symbols, lines, repeated = counts(text)
+        want.append((doc_id, n, chars, symbols, lines, repeated, n < 50 or 100 * repeated > 50 * n))
+    assert sorted((tuple(r)[:7] for r in got), key=repr) == sorted(want, key=repr)
+    for r in got:
+        assert r.kept == (not r.base_failed and r.broken == "")
+
+
+def test_rules_match_duckdb(spark, duck):
+    rows, columns = duck(quality_rules.oracle_sql(), documents=SF)
+    df = quality_rules.report(spark.read.parquet(SF))
+    assert df.columns == columns
+    assert sorted(map(tuple, df.collect()), key=repr) == rows
+
+
+def test_accepted_documents_keep_their_columns(make_docs):
+    docs = make_docs([(1, " ".join(f"the w{i}" for i in range(60))), (2, "short"), (3, None)])
+    out = quality_rules.accepted(docs)
+    assert out.columns == docs.columns
+    assert [r.doc_id for r in out.collect()] == [1]
+    assert quality_rules.report(make_docs([])).count() == 0
+
+
+def test_rules_run_no_python_and_no_shuffle(spark):
+    plan = quality_rules.report(spark.read.parquet(SF))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_mix_matches_duckdb(spark, duck):
+    rows, columns = duck(mixing.oracle_sql(), documents=SF)
+    df = mixing.report(spark.read.parquet(SF))
+    assert df.columns == columns
+    assert sorted(map(tuple, df.collect()), key=repr) == rows
+
+
+@pytest.mark.parametrize("mean", [0.3, 5, 40])
+def test_counts_are_poisson(make_docs, mean):
+    docs = make_docs([(i, "abcd", "s") for i in range(3000)])
+    got = Counter(r.doc_id for r in mixing.mixed(docs, {"s": 1.0}, budget=int(4 * 3000 * mean)).select("doc_id").collect())
+    each = [got[i] for i in range(3000)]
+    assert abs(statistics.mean(each) - mean) < 5 * (mean / 3000) ** 0.5
+    assert abs(statistics.variance(each) / mean - 1) < 0.15
+
+
+def test_mix_edges(make_docs):
+    rows = [(1, None, "a"), (2, "", "b"), (3, "xyz", None), (4, "xyz", "c"), (4, "xyz", "c"), (None, "xyz", "c"), (5, "xy", "d")]
+    docs = make_docs(rows)
+    out = mixing.mixed(docs, {None: 1.0, "c": 2.0, "d": 0.0, "gone": 9.0, "b": 1.0}, budget=600)
+    assert out.columns == [*docs.columns, "_copy", "_order"]
+    seen = Counter(r.doc_id for r in out.collect())
+    assert set(seen) == {3, 4, None} and seen[4] % 2 == 0
+    assert mixing.mixed(make_docs([])).count() == 0
+    again = Counter(r.doc_id for r in mixing.mixed(docs.repartition(3), {None: 1.0, "c": 2.0, "b": 1.0}, budget=600).collect())
+    assert again == seen
+
+
+def test_mix_runs_no_python(spark):
+    plan = mixing.report(spark.read.parquet(SF))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
