@@ -1,23 +1,24 @@
 """N-gram Jaccard join by vertical partitioning.
 
-A document's set holds a hash of each distinct run of ``GRAM`` words. All n-grams have one global
+A document's set holds a hash of each distinct run of a few words (``Measure``). All n-grams have one global
 order: very frequent ones last, the others by hash. The order is cut into fragments. Two linked
 sets share one of their first n-grams (the share of a set that a partner may lack, and one more),
 so those find candidates; the fragments of two candidates are then intersected one by one, each
 where the fragment's rows meet, and the partial overlaps are summed per pair.
 
-Equal sets are one class from the start. Candidates are not all pairs of those that share an
-n-gram: in each round an n-gram names one class as its leader, and the others are compared with
-it. Classes that are found to be connected need no more comparisons among themselves. What is
-left after ``ROUNDS`` rounds, n-grams shared by classes of different components, is compared pair
-by pair, so that no link between different components is lost.
+Equal sets are one class from the start. An n-gram of fewer than ``HOT`` documents brings all its
+classes together in pairs. One of more documents finds no candidates for a set with few enough such
+n-grams, as any partner shares others too; for the rest it names ``LEADERS`` classes, and the others
+are compared with those. Classes that turn out to be connected need no more comparisons among
+themselves; those of different components that still meet only at frequent n-grams are compared
+pair by pair at the end, so that no link between different components is lost.
 
 How frequent an n-gram is comes from a count of all n-grams of all documents in ``2**BUCKETS``
 buckets; its size doesn't depend on the data, and as any order gives right results, a bucket that
 several n-grams share does no harm.
 
 Defined results: a null, empty or blank text has an empty set, no links, and is its own component
-(each null doc_id too); under ``GRAM`` words the whole sequence is the one n-gram; A-Z count as
+(each null doc_id too); under that many words the whole sequence is the one n-gram; A-Z count as
 a-z; rows of equal doc_id are separate texts of that id; n-grams are told apart by 56 bits of a
 hash, sets by 128 bits, classes in the link graph by 64.
 """
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,66 +36,97 @@ from pyspark.sql import functions as F
 
 from .arrays import BYTE_VALUE, LOWER, U64, Chunk, Stretches, chunks, mix
 from .components import components
-from .shared import NO_ID, doc_id_of, identified, keep
+from .shared import NO_ID, broadcast_if_small, doc_id_of, identified, keep
 
-GRAM = 4
-PERCENT = 85
 BUCKETS = 18
 FRAGMENTS = 8
-ROUNDS = 2
+HOT = 8
+LEADERS = 2
+#: Rows of a frequent n-gram are dealt out over so many keys.
+SALTS = 64
+
+
+@dataclass(frozen=True)
+class Measure:
+    """Words of an n-gram, and the least similarity of linked sets in percent."""
+
+    gram: int = 4
+    percent: int = 85
+
+    def least(self, n: str) -> str:
+        """SQL text: the least size of a set that can link with one of size ``n``."""
+        return f"(({self.percent} * {n} + 99) div 100)"
+
+    def extra(self, n: str) -> str:
+        """SQL text: tokens that find a set's candidates beyond those needed to find any. Any two
+        linked sets share more of their first tokens than the smaller of these numbers."""
+        return f"({n} * 5 div 100)"
+
+    def first(self, n: str) -> str:
+        """SQL text: how many tokens of a set find its candidates."""
+        return f"least({n}, {n} - {self.least(n)} + 1 + {self.extra(n)})"
+
+    def first_of(self, n: int) -> int:
+        return min(n, n - -(-self.percent * n // 100) + 1 + n * 5 // 100)
+
+
 #: A token's upper byte is the level of its frequency, the rest its hash.
 HASH_BITS = 56
 
 
-def _grams(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+def _grams(chunk: Chunk, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-grams of the chunk's documents, and where each document's begin."""
     data = LOWER[chunk.data]
     starts, ends, bounds = chunk.words(data)
     words = Stretches(BYTE_VALUE[data])(starts, ends)
     size = np.diff(bounds)
-    count = np.where(size >= GRAM, size - GRAM + 1, np.minimum(size, 1))
+    count = np.where(size >= gram, size - gram + 1, np.minimum(size, 1))
     begins = np.append(0, np.cumsum(count))
     if not len(words):
         return np.empty(0, dtype=U64), begins
     whole = Stretches(words)
-    every = whole.every(GRAM)
+    every = whole.every(gram)
     out = np.empty(int(begins[-1]), dtype=U64)
     inside = np.ones(len(every), dtype=bool)
     # starts too near to the end of their document, and short documents, give no full n-gram
-    for near in range(1, GRAM):
+    for near in range(1, gram):
         at = bounds[1:] - near
         at = at[(at >= bounds[:-1]) & (at < len(every))]
         inside[at] = False
-    full = np.repeat(size >= GRAM, count)
+    full = np.repeat(size >= gram, count)
     out[full] = every[inside]
-    short = np.flatnonzero((size > 0) & (size < GRAM))
+    short = np.flatnonzero((size > 0) & (size < gram))
     out[~full] = whole(bounds[short], bounds[short + 1])
     return out, begins
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """N-grams of all documents of the task, by bucket."""
-    total = np.zeros(1 << BUCKETS, dtype=np.int64)
-    for batch in batches:
-        for chunk in chunks(batch.column(0)):
-            grams, _ = _grams(chunk)
-            total += np.bincount((grams >> U64(64 - BUCKETS)).view(np.int64), minlength=1 << BUCKETS)
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for chunk in chunks(batch.column(0)):
+                grams, _ = _grams(chunk, gram)
+                total += np.bincount((grams >> U64(64 - BUCKETS)).view(np.int64), minlength=1 << BUCKETS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+
+    return work
 
 
-def frequency_levels(docs: DataFrame) -> np.ndarray:
+def frequency_levels(docs: DataFrame, gram: int) -> np.ndarray:
     """For each bucket 0 for about the mean count or less, else how many times it doubles that."""
-    counts = docs.select("text").mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(_counted(gram), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     found = counts.toArrow()  # 2**BUCKETS rows at most, whatever the input
     n = np.zeros(1 << BUCKETS)
     n[found["bucket"].to_numpy()] = found["n"].to_numpy()
     return np.clip(np.log2(np.maximum(n / max(n.mean(), 1.0), 1.0)) - 1, 0, 100).astype(np.uint8)
 
 
-def _sets(chunk: Chunk, levels: np.ndarray) -> Iterator[np.ndarray]:
+def _sets(chunk: Chunk, levels: np.ndarray, gram: int) -> Iterator[np.ndarray]:
     """Each document's n-grams as sorted distinct tokens, whose order is the global one."""
-    grams, begins = _grams(chunk)
+    grams, begins = _grams(chunk, gram)
     tokens = (levels[(grams >> U64(64 - BUCKETS)).view(np.int64)].astype(U64) << U64(HASH_BITS)) | (
         mix(grams) >> U64(64 - HASH_BITS))
     tokens = tokens.view(np.int64)
@@ -101,44 +134,100 @@ def _sets(chunk: Chunk, levels: np.ndarray) -> Iterator[np.ndarray]:
         yield np.unique(tokens[lo:hi])
 
 
-def _first(n: int) -> int:
-    """How many tokens of a set of ``n`` find its candidates."""
-    return n - -(-PERCENT * n // 100) + 1 if n else 0
+def _key(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    bounds = np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int32)
-    values = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
-    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
+def _classes(levels: np.ndarray, measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Class of each document's set, and its size."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(_key(tokens), len(tokens)) for chunk in chunks(batch.column(2)) for tokens in _sets(chunk, levels, measure.gram)]
+            halves = np.frombuffer(b"".join(k for k, _ in sets), dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
+                pa.array([n for _, n in sets], pa.int64()),
+            ], names=["_d", "_t", "node", "more", "n"])
 
-def _classes(levels: np.ndarray, prefixes: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Class of each document's set, its size, and its first tokens if asked for."""
+    return work
+
+
+def _postings(levels: np.ndarray, measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The first tokens of each document's set, with its class and size."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, firsts = [], [], []
-            for chunk in chunks(batch.column(2)):
-                for tokens in _sets(chunk, levels):
-                    keys.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+            for chunk in chunks(batch.column(0)):
+                firsts, nodes, sizes = [np.empty(0, dtype=np.int64)], [], []
+                for tokens in _sets(chunk, levels, measure.gram):
+                    firsts.append(tokens[: measure.first_of(len(tokens))])
+                    nodes.append(_key(tokens)[:8])
                     sizes.append(len(tokens))
-                    if prefixes:
-                        firsts.append(tokens[: _first(len(tokens))])
-            if not keys:
-                continue
-            halves = np.frombuffer(b"".join(keys), dtype=np.int64).reshape(-1, 2)
-            columns = [batch.column(0), batch.column(1), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
-                       pa.array(sizes, pa.int64())]
-            names = ["_d", "_t", "node", "more", "n"]
-            if prefixes:
-                columns.append(_lists(firsts))
-                names.append("first")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                count = [len(x) for x in firsts[1:]]
+                tokens = np.concatenate(firsts)
+                node = np.repeat(np.frombuffer(b"".join(nodes), dtype=np.int64), count)
+                frequent = tokens >> HASH_BITS > 0
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(tokens), pa.array(np.where(frequent, node % SALTS, 0).astype(np.int32)), pa.array(node),
+                    pa.array(np.repeat(sizes, count).astype(np.int32) if len(node) else np.empty(0, dtype=np.int32)),
+                ], names=["token", "salt", "node", "n"])
 
     return work
 
 
-def _segments(levels: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From postings sorted by token, salt and class: once each class of a token that several
+    classes have, with the number ``c`` of its documents. A frequent token's rows pass as they
+    are, with ``HOT`` as number; of others a bucket's count bounds how many there can be."""
+    held: list[pa.RecordBatch] = []
+
+    def done(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch | None, list[pa.RecordBatch]]:
+        rows = rows.combine_chunks()
+        token, salt, node, n = (rows[c].to_numpy() for c in ("token", "salt", "node", "n"))
+        if not last:
+            end = int(np.searchsorted(token, token[-1]))
+            if token[-1] >> HASH_BITS > 0:  # nothing to count: what is here can pass
+                end = len(token)
+            rest = rows.slice(end).to_batches()
+            token, salt, node, n = token[:end], salt[:end], node[:end], n[:end]
+        else:
+            rest = []
+        if not len(token):
+            return None, rest
+        fresh = np.append(True, (token[1:] != token[:-1]) | (salt[1:] != salt[:-1]))
+        group = np.cumsum(fresh) - 1
+        begins = np.flatnonzero(fresh)
+        count = np.bincount(group)
+        several = node[begins] != node[np.append(begins[1:], len(node)) - 1]
+        frequent = token[begins] >> HASH_BITS > 0
+        first = fresh | np.append(True, node[1:] != node[:-1])
+        out = first & (several | frequent)[group]
+        c = np.where(frequent, HOT, count)[group][out]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(token[out]), pa.array(node[out]), pa.array(n[out].astype(np.int64)), pa.array(c)],
+            names=["token", "node", "n", "c"],
+        ), rest
+
+    for batch in batches:
+        held.append(batch)
+        if sum(len(b) for b in held) >= 50_000:
+            found, held = done(pa.Table.from_batches(held), last=False)
+            if found is not None:
+                yield found
+    if held:
+        found, _ = done(pa.Table.from_batches(held), last=True)
+        if found is not None:
+            yield found
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    bounds = np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int32)
+    values = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
+
+
+def _segments(levels: np.ndarray, measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(node, text) cut into a row for each fragment of the order that has tokens."""
     # frequent tokens share the last fragment
     cuts = (np.arange(1, FRAGMENTS) << HASH_BITS) // (FRAGMENTS - 1) if FRAGMENTS > 1 else np.empty(0, dtype=np.int64)
@@ -149,7 +238,7 @@ def _segments(levels: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             nodes = batch.column(0).to_numpy()
             for chunk in chunks(batch.column(1)):
                 node, fragment, parts = [], [], []
-                for i, tokens in enumerate(_sets(chunk, levels)):
+                for i, tokens in enumerate(_sets(chunk, levels, measure.gram)):
                     if nodes[chunk.first + i] == last:
                         continue  # a row of documents that comes again
                     last = nodes[chunk.first + i]
@@ -183,88 +272,106 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4), pa.array(n)], names=["x", "y", "fragment", "n"])
 
 
-def _near(n: str, m: str) -> Column:
-    """Whether sets of these sizes can link."""
-    return F.expr(f"100 * least({n}, {m}) >= {PERCENT} * greatest({n}, {m})")
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """Each pair once, the smaller class first."""
-    return pairs.selectExpr(
-        "least(x, y) AS x", "greatest(x, y) AS y", "if(x < y, nx, ny) AS nx", "if(x < y, ny, nx) AS ny"
-    ).distinct()
-
-
-def _links(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+def _near(measure: Measure) -> Column:
+    """Whether sets of sizes nx and ny can link."""
+    return F.expr(f"100 * least(nx, ny) >= {measure.percent} * greatest(nx, ny)")
+
+
+def _thinned(postings: DataFrame, measure: Measure) -> DataFrame:
+    """Without sets that share fewer tokens than linked sets do, and without the frequent tokens
+    of sets that have no more of them than any partner must share beside them. ``hot`` is a
+    set's number of frequent tokens."""
+    frequent = F.col("c") >= HOT
+    per_node = postings.groupBy("node", "n").agg(F.count("*").alias("shared"), F.count(F.when(frequent, True)).alias("hot"))
+    fewest = F.expr(measure.extra(measure.least("n")))
+    per_node = per_node.where(F.col("shared") > fewest).select("node", "hot", (F.col("hot") <= fewest).alias("thin"))
+    rows = postings.join(per_node, "node").where(~(F.col("thin") & frequent))
+    return rows.select("token", "node", "n", "hot", frequent.alias("frequent"))
+
+
+def _enough(measure: Measure) -> Column:
+    """Whether two sets met at as many of their first tokens, ``met`` at most, as linked sets do."""
+    percent = measure.percent
+    overlap = f"({percent} * (nx + ny) + {99 + percent}) div {100 + percent}"
+    shared = f"least({measure.first('nx')} - nx, {measure.first('ny')} - ny) + {overlap}"
+    return F.expr(f"met >= {shared}")
+
+
+def _side(postings: DataFrame, name: str) -> DataFrame:
+    kept = ["token", f"node AS {name}", f"n AS n{name}", f"hot AS h{name}"]
+    return postings.selectExpr(*kept, *[f"component AS c{name}" for c in postings.columns if c == "component"])
+
+
+def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
+    """Pairs of classes that share enough tokens to link, as far as counts tell: all that meet at
+    a token that isn't frequent, and those of a frequent token's leaders with its other classes."""
+    rare, frequent = postings.where("NOT frequent"), postings.where("frequent")
+    met = _side(rare, "x").join(_side(rare, "y"), "token").where("x < y").withColumn("met", F.lit(1))
+    for number in range(LEADERS):
+        turn = F.struct(F.xxhash64("node", F.lit(number)).alias("turn"), "node", "n", "hot")
+        leaders = frequent.groupBy("token").agg(F.min(turn).alias("l"))
+        star = frequent.join(leaders, "token").where("node != l.node").selectExpr(
+            "token", "least(node, l.node) AS x", "if(node < l.node, n, l.n) AS nx", "if(node < l.node, hot, l.hot) AS hx",
+            "greatest(node, l.node) AS y", "if(node < l.node, l.n, n) AS ny", "if(node < l.node, l.hot, hot) AS hy", "0 AS met",
+        )
+        met = met.unionByName(star)
+    met = met.where(_near(measure)).groupBy("x", "y", "nx", "ny", "hx", "hy").agg(F.sum("met").alias("met"))
+    # frequent tokens may add to what they met at
+    return met.withColumn("met", F.expr("met + least(hx, hy)")).where(_enough(measure)).select("x", "y", "nx", "ny")
+
+
+def _left_over(postings: DataFrame, labels: DataFrame, measure: Measure) -> DataFrame:
+    """Pairs of classes of different components that meet at enough frequent tokens."""
+    rows = postings.where("frequent").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+    rows = rows.join(mixed.select("token"), "token", "left_semi")
+    pairs = _side(rows, "x").join(_side(rows, "y"), "token").where("x < y AND cx != cy").where(_near(measure))
+    met = pairs.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("met"))
+    return met.where(_enough(measure)).select("x", "y", "nx", "ny")
+
+
+def _links(pairs: DataFrame, segments: DataFrame, measure: Measure) -> DataFrame:
     """The pairs that link: overlaps counted per fragment, summed per pair."""
     rows = pairs.select("x", "y").join(segments.withColumnsRenamed({"node": "y", "tokens": "b"}), "y")
     rows = rows.join(segments.withColumnsRenamed({"node": "x", "tokens": "a"}), ["x", "fragment"])
     overlap = rows.select("x", "y", "a", "b", "fragment").mapInArrow(_overlaps, "x long, y long, fragment int, n long")
     overlap = overlap.groupBy("x", "y", "fragment").agg(F.max("n").alias("n"))  # once each, if a row came twice
     total = overlap.groupBy("x", "y").agg(F.sum("n").alias("both"))
-    linked = F.expr(f"100 * both >= {PERCENT} * (nx + ny - both)")
+    linked = F.expr(f"100 * both >= {measure.percent} * (nx + ny - both)")
     return total.join(pairs, ["x", "y"]).where(linked).select("x", "y")
 
 
-def _live(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings of tokens that classes of different components have in common."""
-    if labels is None:
-        return postings.withColumn("component", F.col("node"))
-    rows = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_tokens = rows.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-    return rows.join(open_tokens.select("token"), "token", "left_semi")
+def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, levels: np.ndarray, measure: Measure) -> DataFrame:
+    """The pairs that link, by the whole sets of one document of each class."""
+    nodes = pairs.select("x").union(pairs.select("y")).toDF("node").distinct()
+    chosen = keep(reps.join(nodes, "node").select("node", "rep.*"))
+    segments = texts.join(broadcast_if_small(chosen), ["_d", "_t"]).select("node", "text").mapInArrow(
+        _segments(levels, measure), "node long, fragment int, tokens array<long>"
+    )
+    return _links(pairs, keep(segments), measure)
 
 
-def memberships(docs: DataFrame) -> DataFrame:
+def memberships(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """``_d``, ``_t`` and set size ``n`` of every document, and ``_component``: the smallest doc_id
     of the documents it is connected with (its own if it has no links)."""
     base = identified(docs)
     texts = base.select("_d", "_t", F.col("_row.text").alias("text"))
-    levels = frequency_levels(docs)
-    schema = "_d long, _t long, node long, more long, n long"
-    classes = texts.mapInArrow(_classes(levels, True), schema + ", first array<long>").where("n > 0")
-    classes = classes.groupBy("node", "more").agg(
-        F.min(F.struct("_d", "_t")).alias("rep"), F.first("n").alias("n"), F.first("first").alias("first")
-    )
-    postings = classes.select("node", "n", "rep", F.explode("first").alias("token"))
-    shared_tokens = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    # only tokens that two classes have are in the hashed side, once each
-    postings = keep(postings.join(shared_tokens.hint("shuffle_hash"), "token", "left_semi"))
-    reps = postings.select("node", "rep._d", "rep._t").distinct()
-    postings = postings.drop("rep")
-    segments = texts.join(reps, ["_d", "_t"]).select("node", "text").mapInArrow(
-        _segments(levels), "node long, fragment int, tokens array<long>"
-    )
-    segments = keep(segments)
-
-    tried = links = labels = None
-    for number in range(ROUNDS + 1):
-        live = keep(_live(postings, labels))
-        if live.isEmpty():
-            break
-        if number < ROUNDS:
-            turn = F.struct(F.xxhash64("node", F.lit(number)).alias("turn"), "node", "n", "component")
-            leaders = live.groupBy("token").agg(F.min(turn).alias("leader"))
-            pairs = live.join(leaders, "token").where(F.col("component") != F.col("leader.component"))
-            pairs = pairs.select(F.col("node").alias("x"), F.col("leader.node").alias("y"),
-                                 F.col("n").alias("nx"), F.col("leader.n").alias("ny"))
-        else:
-            left = live.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-            right = live.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-            pairs = left.join(right, "token").where("x < y AND cx != cy")
-        pairs = _ordered(pairs.where(_near("nx", "ny")))
-        if tried is not None:
-            pairs = pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti")
-        pairs = keep(pairs)
-        found = _links(pairs, segments)
-        tried = pairs if tried is None else tried.union(pairs)
-        links = keep(found if links is None else links.union(found))
-        labels = keep(components(links))
-    rows = keep(texts.mapInArrow(_classes(levels, False), schema))
+    levels = frequency_levels(docs, measure.gram)
+    rows = keep(texts.mapInArrow(_classes(levels, measure), "_d long, _t long, node long, more long, n long"))
+    postings = texts.select("text").mapInArrow(_postings(levels, measure), "token long, salt int, node long, n int")
+    postings = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "node")
+    postings = keep(postings.mapInArrow(_shared, "token long, node long, n long, c long"))
+    postings = keep(_thinned(postings, measure))
+
+    reps = rows.where("n > 0").groupBy("node").agg(F.min(F.struct("_d", "_t")).alias("rep"))
+    pairs = keep(_candidates(postings, measure))
+    links = keep(_verified(pairs, texts, reps, levels, measure))
+    labels = keep(components(links))
+    rest = keep(_left_over(postings, labels, measure).join(pairs, ["x", "y"], "left_anti"))
+    if not rest.isEmpty():
+        labels = keep(components(links.union(_verified(rest, texts, reps, levels, measure))))
     least = F.min(F.when(F.col("_d") != NO_ID, F.col("_d"))).alias("least")
     classes = rows.where("n > 0").groupBy("node", "more").agg(least)
-    if labels is None:
-        return _members(rows, classes)
     # a class without links is a component of its own, told apart by both halves of its key
     classes = classes.join(labels, "node", "left").select(
         "node", "more", "least", F.coalesce("component", "node").alias("component"),
@@ -290,12 +397,11 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """The documents with one of each component, that of the smallest doc_id (among rows of that
-    id, the one of the smallest text hash), and all without a set; columns as they came."""
-    places = memberships(docs)
+    id, the one of the smallest text hash), and all without a set; columns as they came. Rows equal
+    in doc_id and text stay as often as they are."""
+    places = keep(memberships(docs, measure).select("_d", "_t", "n", "_component").distinct())
     first = places.where("n > 0").groupBy("_component").agg(F.min(F.struct("_d", "_t")).alias("rep")).select("rep.*")
-    kept = first.union(places.where("n = 0").select("_d", "_t").distinct())
-    rows = identified(docs).join(kept, ["_d", "_t"])
-    # rows equal in id and text are one document
-    return rows.groupBy("_d", "_t").agg(F.first("_row").alias("_row")).select("_row.*")
+    others = keep(places.where("n > 0").select("_d", "_t").join(first, ["_d", "_t"], "left_anti"))
+    return identified(docs).join(broadcast_if_small(others), ["_d", "_t"], "left_anti").select("_row.*")
