@@ -30,6 +30,7 @@ from .quality_rules import STOP_WORDS
 SAMPLE = 6000
 KEPT_FROM = 0.5
 ROUNDS = 50
+FALSE_ALARMS = 0.01
 FEATURES = 1 << 16
 EPOCHS = 30
 RATE = 0.5
@@ -162,11 +163,15 @@ class LabelModel:
         return right / (right + wrong)
 
 
-def fit_labels(pattern: np.ndarray, count: np.ndarray, labellers: int = len(LABELLERS)) -> LabelModel:
+def fit_labels(
+    pattern: np.ndarray, count: np.ndarray, labellers: int = len(LABELLERS), precise: bool = True
+) -> LabelModel:
     """Expectation-maximisation over counted vote patterns. It starts from heuristics that call a
-    third of the bad documents bad, as each looks for one flaw, and one good document in fifty;
-    every count begins at one, so that no chance is 0."""
-    model = LabelModel(0.8, np.tile(np.array([[0.3, 0.3, 0.4], [0.3, 0.02, 0.68]]), (labellers, 1, 1)))
+    third of the bad documents bad, as each looks for one flaw, and one good document in fifty.
+    ``precise`` keeps them from calling more good documents bad than ``FALSE_ALARMS``: without
+    that, a rarer kind of bad document ends up among the good ones. Every count begins at one, so
+    that no chance is 0."""
+    model = LabelModel(0.8, np.tile(np.array([[0.1, 0.3, 0.6], [0.08, 0.02, 0.9]]), (labellers, 1, 1)))
     if not len(pattern):
         return model
     digits = np.stack([pattern // 3**k % 3 for k in range(labellers)][::-1])
@@ -178,7 +183,12 @@ def fit_labels(pattern: np.ndarray, count: np.ndarray, labellers: int = len(LABE
             for side in (0, 1):
                 votes[k, side] += np.bincount(digits[k], weights=shares[side], minlength=3)
         good_share = (shares[1].sum() + 1) / (count.sum() + 2)
-        model = LabelModel(float(good_share), votes / votes.sum(axis=2, keepdims=True))
+        votes /= votes.sum(axis=2, keepdims=True)
+        if precise:
+            over = np.maximum(votes[:, 1, BAD] - FALSE_ALARMS, 0)
+            votes[:, 1, BAD] -= over
+            votes[:, 1, GOOD] += over
+        model = LabelModel(float(good_share), votes)
     return model
 
 
