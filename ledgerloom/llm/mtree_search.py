@@ -113,23 +113,40 @@ def build(space: Space, ids: np.ndarray, sizes: np.ndarray, vectors: np.ndarray)
 
 
 class Best:
-    """The k best of each query so far: highest score, then smallest id."""
+    """The k best of each query so far: highest score, then smallest id. ``floor`` is the score
+    that a candidate must reach."""
 
     def __init__(self, floor: np.ndarray, k: int) -> None:
-        self.k = k
-        self.score = [np.empty(0, dtype=np.int64) for _ in floor]
-        self.id = [np.empty(0, dtype=np.int64) for _ in floor]
-        self.floor = floor.copy()
-
-    def add(self, query: int, score: np.ndarray, ids: np.ndarray) -> None:
-        good = score >= self.floor[query]
-        if not good.any():
+        self.k, self.floor = k, floor.copy()
+        self._top = np.full((len(floor), k), np.iinfo(np.int64).min)
+        self._seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, queries: np.ndarray, may: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of some entries (columns) for some queries (rows), where ``may`` says so."""
+        may = may & (scores >= self.floor[queries][:, None])
+        better = np.flatnonzero(may.any(axis=1))
+        if not len(better):
             return
-        score, ids = np.append(self.score[query], score[good]), np.append(self.id[query], ids[good])
-        order = np.lexsort((ids, -score))[: self.k]
-        self.score[query], self.id[query] = score[order], ids[order]
-        if len(order) == self.k:
-            self.floor[query] = max(self.floor[query], score[order[-1]])
+        queries, may, scores = queries[better], may[better], scores[better]
+        all_ = np.concatenate([self._top[queries], np.where(may, scores, np.iinfo(np.int64).min)], axis=1)
+        top = np.partition(all_, all_.shape[1] - self.k, axis=1)[:, -self.k:]
+        self._top[queries] = top
+        self.floor[queries] = np.maximum(self.floor[queries], top.min(axis=1))
+        row, column = np.nonzero(may & (scores >= self.floor[queries][:, None]))
+        self._seen.append((queries[row], scores[row, column], ids[column]))
+
+    def results(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, score and id of the k best of each query."""
+        if not self._seen:
+            return (np.empty(0, dtype=np.int64),) * 3
+        query, score, ids = (np.concatenate(parts) for parts in zip(*self._seen, strict=True))
+        good = score >= self.floor[query]
+        query, score, ids = query[good], score[good], ids[good]
+        order = np.lexsort((ids, -score, query))
+        query, score, ids = query[order], score[order], ids[order]
+        begins = np.searchsorted(query, query)
+        first = np.arange(len(query)) - begins < self.k
+        return query[first], score[first], ids[first]
 
 
 def search(space: Space, pages: dict[int, dict], queries: np.ndarray, sizes: np.ndarray, floor: np.ndarray, k: int) -> Best:
@@ -138,6 +155,7 @@ def search(space: Space, pages: dict[int, dict], queries: np.ndarray, sizes: np.
     best = Best(floor, k)
     lifted = np.column_stack([queries, np.zeros(len(queries))]).astype(np.float64)
     query2 = (lifted**2).sum(axis=1)
+    exact = query2.max(initial=0) * space.reach2 < 2.0**104
     # per page: bound and distance to the routing object for each query that takes part
     ahead = [(-np.inf, 0, np.arange(len(queries)), np.full(len(queries), np.inf), np.zeros(len(queries)))]
     while ahead:
@@ -156,10 +174,10 @@ def search(space: Space, pages: dict[int, dict], queries: np.ndarray, sizes: np.
             may &= page["sizes"][None, :] == sizes[some][:, None]
             entries = np.flatnonzero(may.any(axis=0))
             if len(entries):
-                score = queries[some] @ page["routes"][entries].T
-                for i, q in enumerate(some):
-                    own = may[i, entries]
-                    best.add(q, score[i, own], page["ids"][entries][own])
+                # whole numbers far below 2**53: exact as doubles, and much faster to multiply
+                score = (lifted[some, :-1] @ page["values"][entries].T).astype(np.int64) if exact else (
+                    queries[some] @ page["routes"][entries].T)
+                best.add(some, may[:, entries], score, page["ids"][entries])
             continue
         may = space.highest(query2[some][:, None], np.maximum(near - page["radii"], 0)) >= best.floor[some][:, None]
         entries = np.flatnonzero(may.any(axis=0))
@@ -248,17 +266,17 @@ def _found(space: Space, k: int) -> Callable:
             page = {name: np.asarray(row[name]) for name in ("radii", "to_parent", "children", "ids", "sizes")}
             page["routes"] = np.asarray(row["routes"], dtype=np.int64).reshape(len(page["to_parent"]), space.dim)
             page["leaf"] = row["leaf"]
-            if not row["leaf"]:
+            if row["leaf"]:
+                page["values"] = page["routes"].astype(np.float64)
+            else:
                 page["lifted"] = space.lifted(page["routes"])
             pages[row["page"]] = page
-        out: dict[str, list] = {"qid": [], "vec_id": [], "score": []}
+        out: dict[str, np.ndarray | list] = {"qid": [], "vec_id": [], "score": []}
         if pages and len(queries):
             lists = queries["vector"].combine_chunks()
             best = search(space, pages, integers(lists, space.dim), lists.value_lengths().to_numpy(), queries["floor"].to_numpy(), k)
-            for qid, ids, scores in zip(queries["qid"].to_numpy(), best.id, best.score, strict=True):
-                out["qid"].extend([qid] * len(ids))
-                out["vec_id"].extend(ids)
-                out["score"].extend(scores)
+            query, score, ids = best.results()
+            out = {"qid": queries["qid"].to_numpy()[query], "vec_id": ids, "score": score}
         return pa.table({name: pa.array(x, pa.int64()) for name, x in out.items()})
 
     return work
