@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from .arrays import spread
 from .shared import in_small_batches
 
-#: Words, and pairs of tokens, whose results a worker remembers at most.
-CACHE_ENTRIES = 300_000
+#: Stretches, words, and pairs of tokens, whose results a worker remembers at most, within a task.
+CACHE_ENTRIES = 250_000
 
 
 def byte_letters() -> list[str]:
@@ -171,6 +171,11 @@ class Bpe:
             for part in self._apart.split(text) if part
         )
 
+    def forget(self) -> None:
+        """Drop what was remembered: a worker that waits for other work holds no more than tables."""
+        for cache in (self._fits, self._words, self._chunks):
+            cache.clear()
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens' texts joined by spaces, as UTF-8."""
         starts = self._offsets[ids]
@@ -207,6 +212,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             yield pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(pa.array(bounds), values), batch.column(1)], names=["ids", "_row"]
             )
+        bpe.forget()
 
     return _beside(docs, text, work, T.ArrayType(T.IntegerType()), ids)
 
@@ -248,6 +254,7 @@ def report(docs: DataFrame, path: str) -> DataFrame:
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     return in_small_batches(docs).select("doc_id", "text").mapInArrow(
         work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
