@@ -36,7 +36,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source at its target weight: documents repeated or left out, in shuffled order."""
-    return mixing.mixed(docs).drop("_copy", "_order")
+    return mixing.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

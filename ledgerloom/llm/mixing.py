@@ -75,11 +75,11 @@ def rates(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bu
     )
 
 
-def mixed(
+def dealt(
     docs: DataFrame, weights: Mapping[str | None, float] | None = None, budget: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    """The mixed corpus: the columns of ``docs``, and ``_copy`` (from 1) and ``_order``, by whose
-    value the rows are dealt out and sorted."""
+    """The mixed corpus: ``_row`` (all columns of ``docs``), ``_copy`` (from 1) and ``_order``, by
+    whose value the rows are dealt out and sorted."""
     table = keep(rates(docs, weights, budget)).select(F.col("source").alias("_source"), "parts", "rest_table")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(row, F.col("source").alias("_source"), F.col("doc_id").alias("_id"))
@@ -100,8 +100,12 @@ def mixed(
     rows = rows.withColumn("_copy", F.col("_copy") + 1)
     order = F.substring(_hashed(F.lit(seed), F.col("_id"), F.lit("copy"), F.col("_copy")), 1, 16)
     rows = rows.select("_row", "_copy", order.alias("_order"))
-    dealt = rows.repartition("_order").sortWithinPartitions("_order")
-    return dealt.select("_row.*", "_copy", "_order")
+    return rows.repartition("_order").sortWithinPartitions("_order")
+
+
+def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, budget: int | None = None) -> DataFrame:
+    """The mixed corpus with just the columns of ``docs``."""
+    return dealt(docs, weights, budget).select("_row.*")
 
 
 def _part_table() -> Column:
@@ -113,8 +117,10 @@ def _part_table() -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Every copy, whole, in its place."""
-    return mixed(docs).withColumnsRenamed({"_copy": "copy", "_order": "shuffle_key"})
+    """Every copy, whole, in its place. Columns of ``docs`` called ``copy`` or ``shuffle_key`` give
+    way to those made here."""
+    own = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("copy", "shuffle_key")]
+    return dealt(docs).select(*own, F.col("_copy").alias("copy"), F.col("_order").alias("shuffle_key"))
 
 
 def oracle_sql() -> str:

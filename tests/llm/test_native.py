@@ -80,7 +80,10 @@ def test_mix_edges(make_docs):
     rows = [(1, None, "a"), (2, "", "b"), (3, "xyz", None), (4, "xyz", "c"), (4, "xyz", "c"), (None, "xyz", "c"), (5, "xy", "d")]
     docs = make_docs(rows)
     out = mixing.mixed(docs, {None: 1.0, "c": 2.0, "d": 0.0, "gone": 9.0, "b": 1.0}, budget=600)
-    assert out.columns == [*docs.columns, "_copy", "_order"]
+    assert out.columns == docs.columns
+    clashing = docs.withColumnsRenamed({"words": "copy", "ids": "_copy", "n": "_order"})
+    assert mixing.mixed(clashing).columns == clashing.columns
+    assert mixing.report(clashing).columns == [*[c for c in clashing.columns if c != "copy"], "copy", "shuffle_key"]
     seen = Counter(r.doc_id for r in out.collect())
     assert set(seen) == {3, 4, None} and seen[4] % 2 == 0
     assert mixing.mixed(make_docs([])).count() == 0
