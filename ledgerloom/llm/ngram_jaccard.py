@@ -8,8 +8,8 @@ where the fragment's rows meet, and the partial overlaps are summed per pair.
 
 Equal sets are one class from the start. An n-gram of fewer than ``HOT`` documents brings all its
 classes together in pairs. One of more documents finds no candidates for a set with few enough such
-n-grams, as any partner shares others too; for the rest it names ``LEADERS`` classes, and the others
-are compared with those. Classes that turn out to be connected need no more comparisons among
+n-grams, as any partner shares others too; for the rest it names a leader, and each class is
+compared with the ``LEADERS`` classes that lead most of its n-grams. Classes that turn out to be connected need no more comparisons among
 themselves; those of different components that still meet only at frequent n-grams are compared
 pair by pair at the end, so that no link between different components is lost.
 
@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .arrays import BYTE_VALUE, LOWER, U64, Chunk, Stretches, chunks, mix
 from .components import components
@@ -41,7 +42,7 @@ from .shared import NO_ID, broadcast_if_small, doc_id_of, identified, keep
 BUCKETS = 18
 FRAGMENTS = 8
 HOT = 8
-LEADERS = 2
+LEADERS = 1
 #: Rows of a frequent n-gram are dealt out over so many keys.
 SALTS = 64
 
@@ -304,17 +305,20 @@ def _side(postings: DataFrame, name: str) -> DataFrame:
 
 def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
     """Pairs of classes that share enough tokens to link, as far as counts tell: all that meet at
-    a token that isn't frequent, and those of a frequent token's leaders with its other classes."""
+    a token that isn't frequent, and each class with those that lead most of its frequent tokens."""
     rare, frequent = postings.where("NOT frequent"), postings.where("frequent")
     met = _side(rare, "x").join(_side(rare, "y"), "token").where("x < y").withColumn("met", F.lit(1))
-    for number in range(LEADERS):
-        turn = F.struct(F.xxhash64("node", F.lit(number)).alias("turn"), "node", "n", "hot")
-        leaders = frequent.groupBy("token").agg(F.min(turn).alias("l"))
-        star = frequent.join(leaders, "token").where("node != l.node").selectExpr(
-            "token", "least(node, l.node) AS x", "if(node < l.node, n, l.n) AS nx", "if(node < l.node, hot, l.hot) AS hx",
-            "greatest(node, l.node) AS y", "if(node < l.node, l.n, n) AS ny", "if(node < l.node, l.hot, hot) AS hy", "0 AS met",
-        )
-        met = met.unionByName(star)
+    turn = F.struct(F.xxhash64("node").alias("turn"), "node", "n", "hot")
+    leaders = frequent.groupBy("token").agg(F.min(turn).alias("l"))
+    led = frequent.join(leaders, "token").where("node != l.node").selectExpr(
+        "node", "n", "hot", "l.node AS to", "l.n AS to_n", "l.hot AS to_hot"
+    ).groupBy("node", "n", "hot", "to", "to_n", "to_hot").agg(F.count("*").alias("led"))
+    most = Window.partitionBy("node").orderBy(F.desc("led"), "to")
+    star = led.withColumn("place", F.row_number().over(most)).where(F.col("place") <= LEADERS).selectExpr(
+        "least(node, to) AS x", "if(node < to, n, to_n) AS nx", "if(node < to, hot, to_hot) AS hx",
+        "greatest(node, to) AS y", "if(node < to, to_n, n) AS ny", "if(node < to, to_hot, hot) AS hy", "0 AS met",
+    )
+    met = met.drop("token").unionByName(star)
     met = met.where(_near(measure)).groupBy("x", "y", "nx", "ny", "hx", "hy").agg(F.sum("met").alias("met"))
     # frequent tokens may add to what they met at
     return met.withColumn("met", F.expr("met + least(hx, hy)")).where(_enough(measure)).select("x", "y", "nx", "ny")
