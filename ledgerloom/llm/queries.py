@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     bpe,
+    hard_negatives,
     lm_scores,
     mixing,
     mtree_search,
     ngram_jaccard,
+    personal_data,
     quality_classifier,
     quality_rules,
+    spelling,
     substring_dedup,
     suffix_array_dedup,
     toxicity,
@@ -62,6 +65,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.report(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
@@ -73,9 +88,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_lm_scores": op9_lm_scores,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_pii": op11_pii,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op9_lm_scores": lm_scores.oracle_sql(),
     "op1_mix_sources": mixing.oracle_sql(),
     "op3_quality_rules": quality_rules.oracle_sql(),
+    "op12_spelling_variants": spelling.oracle_sql(),
+    "op13_hard_negatives": hard_negatives.oracle_sql(),
 }
