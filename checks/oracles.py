@@ -422,6 +422,51 @@ ORACLES: dict[str, str] = {
     "delivered_documents": documents(),
     "long_section_documents": documents("", LONG),
     "subcent_expense_matrix": SUBCENT_MATRIX,
+    "late_postings_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
+    "rebuilt_months_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
+    "published_report": f"WITH {BUNDLE} SELECT * FROM bundle",
+    "stored_ledger_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
+    "stored_surplus": f"WITH {all_ctes('unit')} SELECT * FROM surplus",
+    "sql_revenue_matrix_text": f"WITH {revenue_ctes()} {matrix_text('revenue')}",
+    "month_cells": f"""WITH {LEDGER}
+        SELECT unit, CAST(date_trunc('month', entry_date) AS DATE) AS entry_date, upper(kind) AS kind,
+               upper(account) AS account, upper(sub_code) AS sub_code, CAST(sum(amount) AS {MONEY}) AS amount,
+               count(*) AS n_postings
+        FROM ledger GROUP BY ALL""",
+    "left_out": f"""WITH {LEDGER}, {LISTED}, classed AS (
+            SELECT amount, CASE WHEN entry_date IS NULL THEN 'no date'
+                WHEN year(entry_date) <> 2001 THEN 'other year'
+                WHEN upper(kind) NOT IN ('REVENUE', 'EXPENSE') THEN 'other kind'
+                WHEN upper(kind) = 'REVENUE' AND NOT (account = 'NATION_6' AND sub_code = '5-LOW')
+                     AND upper(account) NOT IN (SELECT account FROM listed) THEN 'unlisted revenue'
+                ELSE 'reported' END AS reason
+            FROM ledger
+        )
+        SELECT reason, count(*) FILTER (c.reason IS NOT NULL) AS n_postings, count(amount) AS n_amounts,
+               CAST(coalesce(sum(amount), 0) AS DECIMAL(26,8)) AS amount
+        FROM (VALUES ('no date'), ('other year'), ('other kind'), ('unlisted revenue'), ('reported')) reasons(reason)
+             LEFT JOIN classed c USING (reason) GROUP BY reason""",
+    "money_reject_samples": f"""WITH {MONEY_TEXTS}, rejected AS (
+            SELECT o_orderpriority, 'price_text' AS column_name, price_text AS reject FROM texts
+            WHERE trim(price_text) <> '' AND {parsed('price_text')} IS NULL
+            UNION ALL
+            SELECT o_orderpriority, 'status_text', status_text FROM texts
+            WHERE trim(status_text) <> '' AND {parsed('status_text')} IS NULL
+        )
+        SELECT o_orderpriority, column_name, reject, count(*) AS n_rows,
+               CAST(row_number() OVER (PARTITION BY o_orderpriority, column_name ORDER BY md5(reject)) AS INTEGER) AS sample
+        FROM rejected GROUP BY o_orderpriority, column_name, reject QUALIFY sample <= 4""",
+    "sql_functions": f"""
+        SELECT o_orderkey, {money("amount")} AS outer_text, {money("negative", "inner")} AS inner_text,
+               CAST(negative AS {MONEY}) AS parsed, CAST(NULL AS {MONEY}) AS rejected,
+               CASE month(day) {" ".join(f"WHEN {i} THEN '{m}'" for i, m in NUMBERED)} END AS month_name,
+               CAST(date_trunc('month', day) AS DATE) AS month, upper(o_orderstatus) AS label,
+               CASE WHEN o_custkey % 9 <= 5 THEN o_custkey % 9 + 1 WHEN o_custkey % 9 = 6 THEN 8 ELSE 98 END::INTEGER AS revenue_rank,
+               CASE WHEN o_custkey % 20 BETWEEN 1 AND 12 THEN o_custkey % 20 ELSE 98 END::INTEGER AS expense_rank,
+               CASE WHEN o_custkey % 9 = 6 AND o_orderpriority = '5-LOW' THEN 'INVESTMENT' ELSE 'NATION_' || o_custkey % 9 END AS account,
+               date_trunc('month', day) = DATE '2001-08-01' AND o_custkey % 9 <> 4 AS may_forecast
+        FROM (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, -CAST(o_totalprice AS DECIMAL(18,2)) AS negative,
+                     CAST(o_orderdate AS DATE) AS day FROM orders)""",
     "surplus_of_written_matrices": f"WITH {all_ctes()} SELECT * FROM surplus",
     "written_report_roundtrip": f"WITH {BUNDLE} SELECT * FROM bundle",
     "money_format": f"""WITH amounts AS (

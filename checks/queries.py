@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixture import CONFIG, item_ledger, ledger, table
-from ledgerloom.config import BRL, BRL_INNER, BRL_POINT, MONEY, label_text
+from ledgerloom.config import BRL, BRL_INNER, BRL_POINT, MONEY, RAW, label_text
 from ledgerloom.functions.dates import (
     day_text,
     month_before,
@@ -22,11 +23,13 @@ from ledgerloom.functions.dates import (
 from ledgerloom.functions.money import (
     format_money,
     format_money_columns,
+    money_reject_samples,
     money_rejects,
     parse_money_columns,
     sign_class,
 )
 from ledgerloom.functions.text import label_key
+from ledgerloom.operators.audit import Audit
 from ledgerloom.operators.cells import (
     carry_previous,
     densify,
@@ -45,7 +48,7 @@ from ledgerloom.operators.matrix import (
     ranked,
     row_total,
 )
-from ledgerloom.plans.delivery import deliver_report
+from ledgerloom.plans.delivery import deliver_report, publish_report, read_published
 from ledgerloom.plans.registry import NamedQuery, default_registry
 from ledgerloom.plans.reports import (
     expense_matrix,
@@ -54,7 +57,10 @@ from ledgerloom.plans.reports import (
     surplus,
     surplus_table,
 )
+from ledgerloom.plans.stored import store_matrix, stored_surplus
 from ledgerloom.session import scratch_folder
+from ledgerloom.sources.cells import CellStore, month_cells
+from ledgerloom.sources.ledger import read_stored_ledger, write_ledger
 from ledgerloom.sources.sinks import document_lines, report_documents, write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -393,6 +399,142 @@ def q_named_sql_query(spark, sf_dir):
     return registry.run("expense codes", ledger(spark, sf_dir), CONFIG)
 
 
+REVENUE_SQL = f"""
+WITH cells AS (
+    SELECT reclassified(label_key(account), sub_code) AS account, month_start(entry_date) AS month,
+           CAST(sum(amount) AS {MONEY}) AS amount
+    FROM {{ledger}}
+    WHERE entry_date >= :first_day AND entry_date < :next_first_day AND label_key(kind) = :kind
+    GROUP BY ALL
+),
+dense AS (
+    SELECT account, month, amount, lag(amount) OVER (PARTITION BY account ORDER BY month) AS previous
+    FROM report_grid() LEFT JOIN cells USING (account, month)
+),
+carried AS (
+    SELECT account, month_label(month) AS name, coalesce(amount, previous) AS amount,
+           CASE WHEN amount IS NULL THEN ' (P)' ELSE '' END AS mark
+    FROM dense WHERE amount IS NOT NULL OR (previous IS NOT NULL AND may_forecast(account, month))
+),
+numbers AS (
+    SELECT * FROM (SELECT account, name, amount FROM carried)
+    PIVOT (sum(amount) FOR name IN ({{names}}))
+),
+texts AS (
+    SELECT * FROM (SELECT account, name, concat(money_text(amount), mark) AS text FROM carried)
+    PIVOT (max(text) FOR name IN ({{names}}))
+),
+totals AS (SELECT account, {{row_total}} AS total FROM numbers),
+sums AS (SELECT {{sums}}, sum({{row_total}}) AS total FROM numbers)
+SELECT 'detail' AS row_type, account AS label, revenue_rank(account) AS rank, texts.* EXCEPT (account),
+       money_text(total) AS total
+FROM texts JOIN totals USING (account)
+UNION ALL
+SELECT 'total', :total_label, {CONFIG.total_rank}, {{money}}, money_text(total) FROM sums
+""".format(
+    ledger="{ledger}",
+    names=", ".join(f"'{m}' AS `{m}`" for m in MONTHS),
+    row_total=" + ".join(f"coalesce(`{m}`, 0)" for m in MONTHS),
+    sums=", ".join(f"sum(`{m}`) AS `{m}`" for m in MONTHS),
+    money=", ".join(f"money_text(`{m}`)" for m in MONTHS),
+)
+
+
+def q_sql_revenue_matrix_text(spark, sf_dir):
+    """The revenue matrix as SQL text over the library's functions."""
+    registry = default_registry()
+    registry["revenue in sql"] = NamedQuery.from_sql(
+        "Revenue by month", REVENUE_SQL, kind=label_text(CONFIG.revenue_kind), total_label=CONFIG.total_label
+    )
+    return registry.run("revenue in sql", ledger(spark, sf_dir), CONFIG)
+
+
+def q_sql_functions(spark, sf_dir):
+    """Every SQL function over orders: texts of amounts, their values again, months, ranks."""
+    registry = default_registry()
+    registry["functions"] = NamedQuery.from_sql(
+        "Functions",
+        """
+        SELECT o_orderkey, money_text(amount) AS outer_text, surplus_text(-amount) AS inner_text,
+               money_value(money_text(-amount)) AS parsed, money_value(concat('(', money_text(amount), ')')) AS rejected,
+               month_label(day) AS month_name, month_start(day) AS month, label_key(concat(lower(status), '  ')) AS label,
+               revenue_rank(concat('NATION_', cust % 9)) AS revenue_rank, expense_rank(concat('BRAND#', cust % 20)) AS expense_rank,
+               reclassified(concat('NATION_', cust % 9), concat(lower(priority), ' ')) AS account,
+               may_forecast(concat('NATION_', cust % 9), day) AS may_forecast
+        FROM (SELECT *, CAST(price AS DECIMAL(18,2)) AS amount FROM {ledger})
+        """,
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("cust"), F.col("o_totalprice").alias("price"),
+        F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
+    )
+    return registry.run("functions", orders, CONFIG)
+
+
+def q_late_postings_bundle(spark, sf_dir):
+    """Cells of what was posted first, then late postings of four months added to them, twice sent."""
+    postings = ledger(spark, sf_dir, keyed=True)
+    late = F.month("entry_date").isin(1, 2, 6, 12) & F.col("sub_code").isin("1-URGENT", "5-LOW", "TYPE_1", "TYPE_3")
+    store = CellStore(spark, scratch_folder(spark), UNIT)
+    store.write(postings.where(~late))
+    for _ in range(2):
+        store.add(postings.where(late), "late postings")
+    return report_bundle(store.read(CONFIG.year), CONFIG, UNIT)
+
+
+def q_rebuilt_months_bundle(spark, sf_dir):
+    """Cells of wrong amounts in two months, which are then summed again."""
+    postings = ledger(spark, sf_dir, keyed=True)
+    wrong = F.when(F.month("entry_date").isin(3, 4), F.col("amount") * 2).otherwise(F.col("amount"))
+    store = CellStore(spark, scratch_folder(spark), UNIT)
+    store.write(postings.withColumn("amount", wrong.cast(RAW)))
+    store.rebuild(postings, [date(CONFIG.year, 3, 1), date(CONFIG.year, 4, 1)])
+    return report_bundle(store.read(CONFIG.year), CONFIG, UNIT)
+
+
+def q_month_cells(spark, sf_dir):
+    """All cells of the ledger, in every year."""
+    return month_cells(ledger(spark, sf_dir, keyed=True), UNIT).withColumn("amount", F.col("amount").cast(MONEY))
+
+
+def q_published_report(spark, sf_dir):
+    """A report published over one of other settings; read as its readers do."""
+    folder = scratch_folder(spark)
+    postings = ledger(spark, sf_dir, keyed=True)
+    publish_report(postings, replace(CONFIG, excluded_account=None), folder, UNIT)
+    publish_report(postings, CONFIG, folder, UNIT)
+    tables, _ = read_published(spark, CONFIG, folder)
+    return tables.select("unit", "section", "row_type", "label", "rank", *MONTHS, "total", "forecast_month")
+
+
+def q_money_reject_samples(spark, sf_dir):
+    return money_reject_samples(money_texts(spark, sf_dir), ["price_text", "status_text"], ["o_orderpriority"], k=4)
+
+
+def q_stored_surplus(spark, sf_dir):
+    """Keyed matrices stored in buckets, and their differences."""
+    folder = scratch_folder(spark)
+    postings = ledger(spark, sf_dir, keyed=True)
+    names = {kind: f"{kind}_{folder.rsplit('/', 1)[-1]}" for kind in ("revenue", "expense")}
+    for kind, matrix in (("revenue", revenue_matrix), ("expense", expense_matrix)):
+        store_matrix(matrix(postings, CONFIG, UNIT), names[kind], UNIT, 4, f"{folder}/{kind}")
+    return stored_surplus(spark, names["revenue"], names["expense"], CONFIG, UNIT)
+
+
+def q_left_out(spark, sf_dir):
+    """What the report of all entities left out, observed while it was written."""
+    audit = Audit(ledger(spark, sf_dir, keyed=True), CONFIG)
+    write_report(report_bundle(audit.ledger, CONFIG, UNIT), CONFIG, scratch_folder(spark))
+    return spark.createDataFrame(audit.rows(), f"reason string, n_postings long, n_amounts long, amount {RAW}")
+
+
+def q_stored_ledger_bundle(spark, sf_dir):
+    """The report on a ledger written with its kinds in plain form."""
+    folder = scratch_folder(spark)
+    write_ledger(ledger(spark, sf_dir, keyed=True), folder, by_year=True)
+    return report_bundle(read_stored_ledger(spark, folder, UNIT, CONFIG.year), CONFIG, UNIT)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: query for name, query in list(globals().items()) if name.startswith("q_")
 }

@@ -19,6 +19,9 @@ MONEY = "decimal(28,2)"
 RAW_DECIMALS = 8
 RAW = f"decimal(26,{RAW_DECIMALS})"
 
+# Mark on the column ``kind`` of a ledger that holds kinds as ``label_text`` gives them.
+PLAIN_KINDS = "ledgerloom.plain_kinds"
+
 # Column names of ledgers, reports and documents; month labels and entity keys may use none.
 RESERVED = frozenset({
     "entry_date", "kind", "account", "sub_code", "amount", "month", "is_revenue", "section",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,29 @@ def parse_money_columns(df: DataFrame, columns: Sequence[str], style: MoneyStyle
     return df.withColumns({c: parse_money(F.col(f"`{c}`"), style) for c in columns})
 
 
+def _rejected(text: Column, style: MoneyStyle) -> Column:
+    """Whether a text is not blank yet no amount."""
+    return (F.translate(text, WHITE_SPACE, "") != "") & parse_money(text, style).isNull()
+
+
+def money_reject_samples(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), style: MoneyStyle = BRL, k: int = 5
+) -> DataFrame:
+    """``k`` different rejected texts per column (and key), and how often each occurs:
+    [keys], column_name, sample, reject, n_rows.
+
+    The texts with the smallest digests, so any partitioning and any order of rows gives the same
+    ones; k smallest of parts merge into the k smallest of all. Texts are counted on the map side
+    first, so one that fills a third of the rows travels once per task; then each task sends its k.
+    """
+    texts = F.inline(F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(f"`{name}`").alias("reject")) for name in columns]))
+    found = df.select(*keys, texts).where(_rejected(F.col("reject"), style))
+    counted = found.groupBy(*keys, "column_name", "reject").agg(F.count("*").alias("n_rows"))
+    order = Window.partitionBy(*keys, "column_name").orderBy(F.md5("reject"), "reject")
+    numbered = counted.withColumn("sample", F.row_number().over(order)).where(F.col("sample") <= k)
+    return numbered.select(*keys, "column_name", "sample", "reject", "n_rows")
+
+
 def money_rejects(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), style: MoneyStyle = BRL
 ) -> DataFrame:
@@ -74,7 +97,7 @@ def money_rejects(
     aggregates: list[Column] = []
     for i, name in enumerate(columns):
         text = F.col(f"`{name}`")
-        bad = (F.translate(text, WHITE_SPACE, "") != "") & parse_money(text, style).isNull()
+        bad = _rejected(text, style)
         aggregates += [
             F.count(text).alias(f"seen_{i}"),
             F.count(F.when(bad, 1)).alias(f"bad_{i}"),

@@ -22,3 +22,8 @@ def html_row(cells: list[Column]) -> Column:
     """One table row of cells that are HTML already; a missing cell is empty."""
     inner = F.concat_ws("</td><td>", *[F.coalesce(cell, F.lit("")) for cell in cells])
     return F.concat(F.lit("<tr><td>"), inner, F.lit("</td></tr>"))
+
+
+def sql_text(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -7,16 +7,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.config import MONEY, ReportConfig, label_text
+from ledgerloom.config import MONEY, PLAIN_KINDS, ReportConfig, label_text
 from ledgerloom.functions.dates import in_year, month_before, month_start, months_of
 from ledgerloom.functions.text import label_key
 from ledgerloom.operators.lookup import lookup
 
 
+def has_plain_kinds(ledger: DataFrame) -> bool:
+    return bool(ledger.schema["kind"].metadata.get(PLAIN_KINDS))
+
+
 def year_kind_filter(ledger: DataFrame, year: int, kinds: Sequence[str]) -> DataFrame:
-    """Postings of one year and the given kinds."""
+    """Postings of one year and the given kinds. Where the ledger is known to hold kinds in the form
+    in which they are compared, the kinds reach the file scan as the year does."""
     wanted = [label_text(k) for k in kinds]
-    return ledger.where(in_year(F.col("entry_date"), year) & label_key(F.col("kind")).isin(wanted))
+    kind = F.col("kind") if has_plain_kinds(ledger) else label_key(F.col("kind"))
+    return ledger.where(in_year(F.col("entry_date"), year) & kind.isin(wanted))
 
 
 def reclassify(

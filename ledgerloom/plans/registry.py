@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.config import ReportConfig
 from ledgerloom.functions.money import format_money_columns
+from ledgerloom.functions.sql import sql_functions
 from ledgerloom.operators.matrix import matrix_text, ordered
 from ledgerloom.plans.reports import expense_matrix, revenue_matrix, surplus_table
 
@@ -24,14 +25,17 @@ class NamedQuery:
     @staticmethod
     def from_sql(title: str, text: str, **args: object) -> NamedQuery:
         """Query from SQL text. ``{ledger}`` stands for the ledger; ``:name`` parameters come
-        from ``args``, and ``:first_day`` / ``:next_first_day`` bound the report year."""
+        from ``args``, and ``:first_day`` / ``:next_first_day`` bound the report year. The text may
+        call the functions of ``functions.sql`` for the report's settings."""
 
         def build(ledger: DataFrame, cfg: ReportConfig, keys: Sequence[str]) -> DataFrame:
             bounds = {
                 "first_day": date(cfg.year, 1, 1),
                 "next_first_day": date(cfg.year + 1, 1, 1),
             }
-            return ledger.sparkSession.sql(text, args={**bounds, **args}, ledger=ledger)
+            spark = ledger.sparkSession
+            with sql_functions(spark, cfg):
+                return spark.sql(text, args={**bounds, **args}, ledger=ledger)
 
         return NamedQuery(title, build)
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.config import RAW, RAW_DECIMALS
+from ledgerloom.config import PLAIN_KINDS, RAW, RAW_DECIMALS
+from ledgerloom.functions.text import label_key
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("entry_date", T.DateType()),
@@ -85,6 +86,33 @@ def read_ledger(
     return as_ledger(df, columns, keys)
 
 
+def write_ledger(ledger: DataFrame, path: str, by_year: bool = False, mode: str = "error") -> None:
+    """Write a ledger as Parquet with its kinds in the form in which they are compared, in a column
+    ``kind_key`` beside the original ``kind``, and with each task's rows in order of kind and date,
+    so that a scan can skip the row groups of other kinds and dates. ``by_year`` makes folders by
+    ``posting_year`` for ``read_stored_ledger``. Nothing is shuffled."""
+    stored = ledger.withColumn("kind_key", label_key(F.col("kind")))
+    order = ["kind_key", "entry_date"]
+    if by_year:
+        stored, order = stored.withColumn("posting_year", F.year("entry_date")), ["posting_year", *order]
+    writer = stored.sortWithinPartitions(*order).write.mode(mode)
+    (writer.partitionBy("posting_year") if by_year else writer).parquet(path)
+
+
+def read_stored_ledger(
+    spark: SparkSession, path: str, keys: Sequence[str] = (), year: int | None = None
+) -> DataFrame:
+    """Ledger that ``write_ledger`` wrote, with ``kind`` taken from ``kind_key``: reports then push
+    their kinds down to the files. ``year`` reads just that year's folder, if there are such."""
+    stored = spark.read.parquet(path)
+    if "kind_key" not in stored.columns:
+        raise ValueError(f"{path} holds no ledger written by write_ledger")
+    if year is not None:
+        stored = stored.where(F.col("posting_year") == year)
+    ledger = as_ledger(stored, {"kind": "kind_key"}, keys)
+    return ledger.withColumn("kind", F.col("kind").alias("kind", metadata={PLAIN_KINDS: True}))
+
+
 def read_ledger_table(
     spark: SparkSession,
     table: str,
