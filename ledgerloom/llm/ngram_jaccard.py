@@ -8,10 +8,11 @@ where the fragment's rows meet, and the partial overlaps are summed per pair.
 
 Equal sets are one class from the start. An n-gram of fewer than ``HOT`` documents brings all its
 classes together in pairs. One of more documents finds no candidates for a set with few enough such
-n-grams, as any partner shares others too; for the rest it names ``LEADERS`` classes, and the others
-are compared with those. Classes that turn out to be connected need no more comparisons among
-themselves; those of different components that still meet only at frequent n-grams are compared
-pair by pair at the end, so that no link between different components is lost.
+n-grams, as any partner shares others too; for the rest it names a leader for each band of sizes,
+the class with the fewest n-grams of its own, and the others are compared with that. Classes that
+turn out to be connected need no more comparisons among themselves. Those of different components
+that share frequent n-grams only must have many of them in common, so only n-grams early enough in
+both sets' order bring them together; no link between different components is lost.
 
 How frequent an n-gram is comes from a count of all n-grams of all documents in ``2**BUCKETS``
 buckets; its size doesn't depend on the data, and as any order gives right results, a bucket that
@@ -33,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .arrays import BYTE_VALUE, LOWER, U64, Chunk, Stretches, chunks, mix
 from .components import components
@@ -41,7 +43,6 @@ from .shared import NO_ID, broadcast_if_small, doc_id_of, identified, keep
 BUCKETS = 18
 FRAGMENTS = 8
 HOT = 8
-LEADERS = 2
 #: Rows of a frequent n-gram are dealt out over so many keys.
 SALTS = 64
 
@@ -289,45 +290,63 @@ def _thinned(postings: DataFrame, measure: Measure) -> DataFrame:
     return rows.select("token", "node", "n", "hot", frequent.alias("frequent"))
 
 
-def _enough(measure: Measure) -> Column:
-    """Whether two sets met at as many of their first tokens, ``met`` at most, as linked sets do."""
+def _needed(measure: Measure) -> str:
+    """SQL text: the number of their first tokens that two linked sets have in common at least."""
     percent = measure.percent
     overlap = f"({percent} * (nx + ny) + {99 + percent}) div {100 + percent}"
-    shared = f"least({measure.first('nx')} - nx, {measure.first('ny')} - ny) + {overlap}"
-    return F.expr(f"met >= {shared}")
+    return f"(least({measure.first('nx')} - nx, {measure.first('ny')} - ny) + {overlap})"
+
+
+def _enough(measure: Measure) -> Column:
+    """Whether two sets met at as many of their first tokens, ``met`` at most, as linked sets do."""
+    return F.expr(f"met >= {_needed(measure)}")
 
 
 def _side(postings: DataFrame, name: str) -> DataFrame:
     kept = ["token", f"node AS {name}", f"n AS n{name}", f"hot AS h{name}"]
-    return postings.selectExpr(*kept, *[f"component AS c{name}" for c in postings.columns if c == "component"])
+    return postings.selectExpr(*kept, *[f"{c} AS {c[0]}{name}" for c in ("component", "rank") if c in postings.columns])
+
+
+def _possible(measure: Measure) -> Column:
+    """Whether two sets that meet at frequent tokens only can have as many of them in common as
+    linked sets do: no more than the one of them that has fewer."""
+    return _near(measure) & F.expr(f"least(hx, hy) >= {_needed(measure)}")
 
 
 def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
     """Pairs of classes that share enough tokens to link, as far as counts tell: all that meet at
-    a token that isn't frequent, and those of a frequent token's leaders with its other classes."""
+    a token that isn't frequent, and those of a frequent token's leaders with its other classes.
+
+    A token has a leader for each band of sizes that linked sets may have: the class with the fewest
+    tokens that are not frequent. In a group of near copies that is the text they were made from, or
+    what is nearest to it, and most of the group links to it."""
     rare, frequent = postings.where("NOT frequent"), postings.where("frequent")
     met = _side(rare, "x").join(_side(rare, "y"), "token").where("x < y").withColumn("met", F.lit(1))
-    for number in range(LEADERS):
-        turn = F.struct(F.xxhash64("node", F.lit(number)).alias("turn"), "node", "n", "hot")
-        leaders = frequent.groupBy("token").agg(F.min(turn).alias("l"))
-        star = frequent.join(leaders, "token").where("node != l.node").selectExpr(
-            "token", "least(node, l.node) AS x", "if(node < l.node, n, l.n) AS nx", "if(node < l.node, hot, l.hot) AS hx",
-            "greatest(node, l.node) AS y", "if(node < l.node, l.n, n) AS ny", "if(node < l.node, l.hot, hot) AS hy", "0 AS met",
-        )
-        met = met.unionByName(star)
+    band = F.expr(f"floor(ln(n) / ln(100D / {measure.percent}))")
+    frequent = frequent.withColumn("band", band)
+    turn = F.struct((F.expr(measure.first("n")) - F.col("hot")).alias("others"), F.xxhash64("node").alias("turn"), "node", "n", "hot")
+    leaders = frequent.groupBy("token", "band").agg(F.min(turn).alias("l"))
+    star = frequent.join(leaders, ["token", "band"]).where("node != l.node").selectExpr(
+        "token", "least(node, l.node) AS x", "if(node < l.node, n, l.n) AS nx", "if(node < l.node, hot, l.hot) AS hx",
+        "greatest(node, l.node) AS y", "if(node < l.node, l.n, n) AS ny", "if(node < l.node, l.hot, hot) AS hy", "0 AS met",
+    )
+    met = met.unionByName(star.where(_near(measure)))
     met = met.where(_near(measure)).groupBy("x", "y", "nx", "ny", "hx", "hy").agg(F.sum("met").alias("met"))
     # frequent tokens may add to what they met at
     return met.withColumn("met", F.expr("met + least(hx, hy)")).where(_enough(measure)).select("x", "y", "nx", "ny")
 
 
 def _left_over(postings: DataFrame, labels: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs of classes of different components that meet at enough frequent tokens."""
+    """Pairs of classes of different components that may link though they meet at frequent tokens
+    only. Linked ones have the needed number of those in common, so one of them at least comes in
+    both sets before the last that many less one; where none does, a pair is never made."""
     rows = postings.where("frequent").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-    rows = rows.join(mixed.select("token"), "token", "left_semi")
-    pairs = _side(rows, "x").join(_side(rows, "y"), "token").where("x < y AND cx != cy").where(_near(measure))
-    met = pairs.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("met"))
-    return met.where(_enough(measure)).select("x", "y", "nx", "ny")
+    in_order = Window.partitionBy("node").orderBy("token")
+    rows = rows.withColumn("rank", F.row_number().over(in_order)).join(mixed.select("token"), "token", "left_semi")
+    x, y = (_side(rows, name) for name in "xy")
+    early = F.expr(f"rx <= hx - {_needed(measure)} + 1 AND ry <= hy - {_needed(measure)} + 1")
+    return x.join(y, (x.token == y.token) & F.expr("x < y AND cx != cy") & _possible(measure) & early).select("x", "y", "nx", "ny").distinct()
 
 
 def _links(pairs: DataFrame, segments: DataFrame, measure: Measure) -> DataFrame:
@@ -405,3 +424,31 @@ def representatives(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     first = places.where("n > 0").groupBy("_component").agg(F.min(F.struct("_d", "_t")).alias("rep")).select("rep.*")
     others = keep(places.where("n > 0").select("_d", "_t").join(first, ["_d", "_t"], "left_anti"))
     return identified(docs).join(broadcast_if_small(others), ["_d", "_t"], "left_anti").select("_row.*")
+
+
+def oracle_sql() -> str:
+    """The same rows over the table ``documents``, for DuckDB: all pairs of different sets that share
+    an n-gram, and their components by recursion."""
+    letters, gram, percent = "abcdefghijklmnopqrstuvwxyz", Measure().gram, Measure().percent
+    return rf"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{letters.upper()}', '{letters}'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), sets AS (
+  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= {gram}
+      THEN list_transform(range(1, len(ws) - {gram - 2}), lambda i: array_to_string(ws[i:i + {gram - 1}], ' '))
+      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS s FROM texts
+), classes AS (
+  SELECT s, row_number() OVER () AS c, len(s) AS n, min(doc_id) AS low FROM sets WHERE len(s) > 0 GROUP BY s
+), grams AS (
+  SELECT c, n, unnest(s) AS g FROM classes
+), links AS (
+  SELECT x, y FROM (SELECT a.c AS x, b.c AS y, a.n AS nx, b.n AS ny, count(*) AS common FROM grams a JOIN grams b ON a.g = b.g AND a.c <> b.c GROUP BY ALL)
+  WHERE 100 * common >= {percent} * (nx + ny - common)
+), reach AS (
+  SELECT c AS a, c AS b FROM classes UNION SELECT reach.a, links.y FROM reach JOIN links ON reach.b = links.x
+), lowest AS (
+  SELECT a AS c, min(low) AS low FROM reach JOIN classes ON b = c GROUP BY a
+)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(lowest.low, doc_id) AS component_id
+FROM sets LEFT JOIN classes USING (s) LEFT JOIN lowest USING (c)"""
