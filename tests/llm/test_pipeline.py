@@ -74,6 +74,6 @@ def test_token_stage_is_the_result_of_run(spark, steps):
 
 def test_a_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     assert np.all([callable(f) for f in queries.QUERIES.values()])
