@@ -96,6 +96,8 @@ ORACLES: dict[str, str] = {
     "op9_lm_scores": lm_scores.oracle_sql(),
     "op1_mix_sources": mixing.oracle_sql(),
     "op3_quality_rules": quality_rules.oracle_sql(),
+    "op6_exact_topk": mtree_search.oracle_sql(),
+    "op10_ngram_jaccard": ngram_jaccard.oracle_sql(),
     "op12_spelling_variants": spelling.oracle_sql(),
     "op13_hard_negatives": hard_negatives.oracle_sql(),
 }

@@ -48,6 +48,38 @@ def test_components_of_links(make_docs, rows, monkeypatch, hot, gram, percent):
     assert sorted(map(tuple, got), key=repr) == plain.components(rows, gram, percent)
 
 
+def near_copies(count, size, most, seed):
+    """Texts with a few words changed, most pairs of them too far apart to link."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(size)]
+    out = []
+    for i in range(count):
+        words = list(base)
+        for _ in range(rng.randrange(most + 1)):
+            words[rng.randrange(size)] = f"n{rng.randrange(60)}"
+        out.append((i, " ".join(words[: size - rng.choice([0, 0, 0, 9])])))
+    return out
+
+
+@pytest.mark.parametrize("size, most, gram, percent", [(60, 6, 4, 85), (150, 8, 4, 85), (150, 14, 5, 80), (25, 3, 4, 85), (40, 4, 1, 85)])
+def test_a_large_group_of_near_copies(make_docs, size, most, gram, percent):
+    rows = near_copies(220, size, most, size + most)
+    rows += [(1000 + i, t) for i, t in near_copies(60, size - 3, most, 5)]
+    got = ngram_jaccard.memberships(make_docs(rows), ngram_jaccard.Measure(gram, percent)).select("_d", "n", "_component").collect()
+    want = plain.components(rows, gram, percent)
+    assert len({c for _, _, c in want}) > 3
+    assert sorted(map(tuple, got), key=repr) == want
+
+
+def test_texts_of_shared_phrases(make_docs):
+    """Every n-gram is frequent and no two texts link: few pairs are compared."""
+    rng = random.Random(8)
+    phrases = [" ".join(f"p{i}w{j}" for j in range(12)) for i in range(60)]
+    rows = [(i, " ".join(rng.sample(phrases, 8))) for i in range(400)]
+    got = ngram_jaccard.memberships(make_docs(rows)).select("_d", "n", "_component").collect()
+    assert sorted(map(tuple, got), key=repr) == plain.components(rows)
+
+
 def test_report_and_empty_table(make_docs, rows):
     df = ngram_jaccard.report(make_docs(rows))
     assert df.columns == ["doc_id", "n_shingles", "component_id"]
@@ -79,21 +111,19 @@ SCHEMA = T.StructType([
 
 
 def nearest(rows, k=20):
-    kept = {}
-    for i, x in rows:
-        if i is not None and x is not None and all(v is not None and math.isfinite(v) for v in x):
-            whole = [math.floor(64 * v) for v in x]
-            kept[i] = min(kept.get(i, whole), whole)
+    valid = [(i, [math.floor(64 * v) for v in x]) for i, x in rows
+             if i is not None and x is not None and all(v is not None and math.isfinite(v) for v in x)]
     out = []
-    for q, x in kept.items():
+    for at, (q, x) in enumerate(valid):
         if q % 20 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in kept.items() if i != q and len(y) == len(x))
+            scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for j, (i, y) in enumerate(valid) if j != at and len(y) == len(x))
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("tree_rows, page_rows, sample", [(2048, 48, 2048), (40, 4, 25)])
-def test_top_k(spark, monkeypatch, tree_rows, page_rows, sample):
+@pytest.mark.parametrize("tree_rows, page_rows, sample, group", [(4096, 48, 2048, 8), (40, 4, 25, 3), (10, 4, 60, 1)])
+def test_top_k(spark, monkeypatch, tree_rows, page_rows, sample, group):
+    monkeypatch.setattr(mtree_search, "GROUP_TREES", group)
     monkeypatch.setattr(mtree_search, "TREE_ROWS", tree_rows)
     monkeypatch.setattr(mtree_search, "PAGE_ROWS", page_rows)
     monkeypatch.setattr(mtree_search, "SAMPLE", sample)
@@ -101,6 +131,7 @@ def test_top_k(spark, monkeypatch, tree_rows, page_rows, sample):
     centers = rng.normal(0, 1, (6, 8))
     rows = [(i, (centers[i % 6] + rng.normal(0, 0.2, 8)).round(2).tolist()) for i in range(400)]
     rows += [(1000 + i, [0.5] * 8) for i in range(90)]  # equal vectors: ties and a hot group
+    rows += [(1020, [0.5] * 8)] * 30 + [(60, [0.5] * 8), (60, [0.25] * 8), (60, rows[60][1])]  # equal rows and ids
     rows += [(2000, None), (2020, [None] * 8), (2040, [float("nan")] * 8), (2060, [float("inf")] * 8), (None, [1.0] * 8),
              (2080, []), (2081, []), (2100, [1.0, 2.0]), (2101, [3.0, -1.0]), (40, rows[40][1]), (-20, [0.25] * 8), (20, [9.0] * 8)]
     df = spark.createDataFrame([(i, x, "a", "b", "c") for i, x in rows], SCHEMA)
@@ -114,8 +145,25 @@ def test_top_k_of_nothing_and_of_one(spark):
     assert mtree_search.top_k(spark.createDataFrame([(20, [1.0], "", "", "")], SCHEMA)).count() == 0
 
 
-def test_whole_table_against_brute_force(spark):
-    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    got = mtree_search.report(df)
-    assert got.columns == ["query_id", "rank", "vec_id", "score"]
-    assert sorted(map(tuple, got.collect())) == nearest([(r.vec_id, r.embedding) for r in df.collect()])
+def test_whole_table_against_duckdb(spark, duck):
+    path = "/root/testdata/sf0.01/embeddings.parquet"
+    rows, columns = duck(mtree_search.oracle_sql(), embeddings=path)
+    got = mtree_search.report(spark.read.parquet(path))
+    assert got.columns == columns
+    assert sorted(map(tuple, got.collect()), key=repr) == rows
+
+
+def test_trees_that_cannot_hold_a_result_are_not_searched(spark, monkeypatch):
+    """Far clusters: what the first tree found keeps a query out of the others."""
+    monkeypatch.setattr(mtree_search, "TREE_ROWS", 60)
+    monkeypatch.setattr(mtree_search, "GROUP_TREES", 1)
+    asked = []
+    before = mtree_search._asked
+    monkeypatch.setattr(mtree_search, "_asked", lambda q, *rest: asked.append(q.count()) or before(q, *rest))
+    rng = np.random.default_rng(3)
+    centers = np.eye(12) * 40
+    rows = [(i, (centers[i % 12] + rng.normal(0, 0.1, 12)).tolist()) for i in range(1200)]
+    df = spark.createDataFrame([(i, x, "", "", "") for i, x in rows], SCHEMA)
+    got = mtree_search.top_k(df).collect()
+    assert sorted(map(tuple, got)) == nearest([(r.vec_id, r.embedding) for r in df.collect()])
+    assert asked[0] == 60 and asked[1] <= 4 * 60
