@@ -39,6 +39,80 @@ def test_label_model_finds_accuracies_it_was_made_with():
     assert ((model.posterior(pattern) > 0.5) == good).mean() > 0.93
 
 
+def plain_em(rows, precise):
+    """The same expectation-maximisation, vote by vote: rows are tuples of votes."""
+    size = len(rows[0])
+    good, votes = 0.8, [[[0.1, 0.3, 0.6], [0.08, 0.02, 0.9]] for _ in range(size)]
+
+    def chance(row):
+        side = [1 - good, good]
+        for k, vote in enumerate(row):
+            side = [side[c] * votes[k][c][vote] for c in (0, 1)]
+        return side[1] / (side[0] + side[1])
+
+    for _ in range(quality_classifier.ROUNDS):
+        belief = [chance(row) for row in rows]
+        tables = [[[1.0] * 3 for _ in range(2)] for _ in range(size)]
+        for row, b in zip(rows, belief):
+            for k, vote in enumerate(row):
+                tables[k][0][vote] += 1 - b
+                tables[k][1][vote] += b
+        good = (sum(belief) + 1) / (len(rows) + 2)
+        votes = [[[n / sum(side) for n in side] for side in table] for table in tables]
+        if precise:
+            for table in votes:
+                over = max(table[1][BAD] - quality_classifier.FALSE_ALARMS, 0)
+                table[1][BAD] -= over
+                table[1][GOOD] += over
+    return good, votes, [chance(row) for row in rows]
+
+
+@pytest.mark.parametrize("precise", [True, False])
+def test_label_model_against_plain_expectation_maximisation(precise):
+    rng = np.random.default_rng(7)
+    truth = rng.random(300) < 0.75
+    rows = [tuple(int(v) for v in rng.choice(3, size=4, p=[0.15, 0.05, 0.8] if t else [0.2, 0.5, 0.3])) for t in truth]
+    pattern = np.array([int("".join(map(str, r)), 3) for r in rows])
+    some, count = np.unique(pattern, return_counts=True)
+    model = quality_classifier.fit_labels(some, count.astype(float), 4, precise=precise)
+    good, votes, belief = plain_em(rows, precise)
+    assert model.good == pytest.approx(good, abs=1e-9)
+    assert model.votes == pytest.approx(np.array(votes), abs=1e-9)
+    assert model.posterior(pattern) == pytest.approx(np.array(belief), abs=1e-9)
+    if precise:
+        assert model.votes[:, 1, BAD].max() <= quality_classifier.FALSE_ALARMS + 1e-12
+
+
+def test_network_against_a_plain_loop():
+    """Forward pass: every filter at every place, the largest response, then the output."""
+    rng = np.random.default_rng(5)
+    model = toxicity.Cnn.untrained(9)
+    model.bias[:] = rng.normal(0, 0.2, len(model.bias))
+    sizes = [1, 2, 3, 7, 20]
+    pad = max(toxicity.WIDTHS) - 1
+    first, second, begins = [], [], [0]
+    for size in sizes:
+        for rows in (first, second):
+            rows += [int(x) for x in rng.integers(0, toxicity.PAD, size)] + [toxicity.PAD] * pad
+        begins.append(len(first))
+    got = model.pooled(np.array(first), np.array(second), np.array(begins))
+    for d in range(len(sizes)):
+        words = [np.concatenate([model.tables[0][first[i]], model.tables[1][second[i]]]) for i in range(begins[d], begins[d + 1])]
+        column = 0
+        for k, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                best = 0.0
+                for at in range(len(words)):
+                    total = model.bias[k * toxicity.FILTERS + f]
+                    for offset in range(min(width, len(words) - at)):
+                        total += words[at + offset] @ model.filters[:, column + offset * toxicity.FILTERS + f]
+                    best = max(best, total)
+                assert got[d, k * toxicity.FILTERS + f] == pytest.approx(best, abs=1e-4)
+            column += width * toxicity.FILTERS
+        want = 1 / (1 + np.exp(-(got[d] @ model.out + model.out_bias)))
+        assert model.score(got)[d] == pytest.approx(want, abs=1e-6)
+
+
 def test_quality_scores_agree_with_labels_never_seen(docs, labels):
     rows = quality_classifier.report(docs).join(labels, "doc_id").select("quality", "kept").toPandas()
     assert rows.kept[rows.quality == 1].mean() > 0.97
@@ -67,6 +141,21 @@ def test_toxicity_on_the_held_out_third(docs, labels):
     assert auc > 0.88
 
 
+def test_scores_do_not_depend_on_neighbours(make_docs, spark):
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(3, 40)], "doc_id long, quality int, toxic int")
+    rows = [(i, f"w{i % 2} w{i} " * (i % 5 + 1)) for i in range(40)]
+    a = {r.doc_id: r.score for r in toxicity.report(make_docs(rows).coalesce(1), labels).collect()}
+    b = {r.doc_id: r.score for r in toxicity.report(make_docs(rows[::-1]).repartition(7), labels).collect()}
+    assert a == pytest.approx(b, abs=1e-6)
+
+
+def test_flags_hold_on_rows_never_fitted(docs, labels):
+    """False alarms of calibrated flags outside the sample are near those on the calibration rows."""
+    rows = toxicity.report(docs, labels).join(labels, "doc_id").toPandas()
+    clean = rows[rows.held_out & (rows.toxic == 0)]
+    assert clean.flagged.mean() < 0.02
+
+
 def test_toxicity_never_uses_held_out_labels(spark):
     docs = spark.read.parquet(SF.format("0.001") + "/documents.parquet")
     labels = spark.read.parquet(SF.format("0.001") + "/labels.parquet")
