@@ -427,7 +427,11 @@ ORACLES: dict[str, str] = {
     "published_report": f"WITH {BUNDLE} SELECT * FROM bundle",
     "stored_ledger_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
     "stored_surplus": f"WITH {all_ctes('unit')} SELECT * FROM surplus",
-    "sql_revenue_matrix_text": f"WITH {revenue_ctes()} {matrix_text('revenue')}",
+    "sql_revenue_matrix_text": f"WITH {revenue_ctes()} SELECT label, rank, {text_months()} FROM revenue",
+    "sql_keyed_revenue_text": f"WITH {revenue_ctes('unit')} SELECT unit, label, rank, {text_months()} FROM revenue",
+    "sql_expense_matrix_text": f"WITH {LEDGER}, {expense_ctes()} SELECT label, rank, {text_months()} FROM expense",
+    "sql_surplus_text": f"WITH {all_ctes()} SELECT label, rank, {text_months('inner', mark=False)} FROM surplus",
+    "sql_keyed_surplus_text": f"WITH {all_ctes('unit')} SELECT unit, label, rank, {text_months('inner', mark=False)} FROM surplus",
     "month_cells": f"""WITH {LEDGER}
         SELECT unit, CAST(date_trunc('month', entry_date) AS DATE) AS entry_date, upper(kind) AS kind,
                upper(account) AS account, upper(sub_code) AS sub_code, CAST(sum(amount) AS {MONEY}) AS amount,

@@ -57,6 +57,7 @@ from ledgerloom.plans.reports import (
     surplus,
     surplus_table,
 )
+from ledgerloom.plans.sql_reports import sql_queries
 from ledgerloom.plans.stored import store_matrix, stored_surplus
 from ledgerloom.session import scratch_folder
 from ledgerloom.sources.cells import CellStore, month_cells
@@ -399,54 +400,25 @@ def q_named_sql_query(spark, sf_dir):
     return registry.run("expense codes", ledger(spark, sf_dir), CONFIG)
 
 
-REVENUE_SQL = f"""
-WITH cells AS (
-    SELECT reclassified(label_key(account), sub_code) AS account, month_start(entry_date) AS month,
-           CAST(sum(amount) AS {MONEY}) AS amount
-    FROM {{ledger}}
-    WHERE entry_date >= :first_day AND entry_date < :next_first_day AND label_key(kind) = :kind
-    GROUP BY ALL
-),
-dense AS (
-    SELECT account, month, amount, lag(amount) OVER (PARTITION BY account ORDER BY month) AS previous
-    FROM report_grid() LEFT JOIN cells USING (account, month)
-),
-carried AS (
-    SELECT account, month_label(month) AS name, coalesce(amount, previous) AS amount,
-           CASE WHEN amount IS NULL THEN ' (P)' ELSE '' END AS mark
-    FROM dense WHERE amount IS NOT NULL OR (previous IS NOT NULL AND may_forecast(account, month))
-),
-numbers AS (
-    SELECT * FROM (SELECT account, name, amount FROM carried)
-    PIVOT (sum(amount) FOR name IN ({{names}}))
-),
-texts AS (
-    SELECT * FROM (SELECT account, name, concat(money_text(amount), mark) AS text FROM carried)
-    PIVOT (max(text) FOR name IN ({{names}}))
-),
-totals AS (SELECT account, {{row_total}} AS total FROM numbers),
-sums AS (SELECT {{sums}}, sum({{row_total}}) AS total FROM numbers)
-SELECT 'detail' AS row_type, account AS label, revenue_rank(account) AS rank, texts.* EXCEPT (account),
-       money_text(total) AS total
-FROM texts JOIN totals USING (account)
-UNION ALL
-SELECT 'total', :total_label, {CONFIG.total_rank}, {{money}}, money_text(total) FROM sums
-""".format(
-    ledger="{ledger}",
-    names=", ".join(f"'{m}' AS `{m}`" for m in MONTHS),
-    row_total=" + ".join(f"coalesce(`{m}`, 0)" for m in MONTHS),
-    sums=", ".join(f"sum(`{m}`) AS `{m}`" for m in MONTHS),
-    money=", ".join(f"money_text(`{m}`)" for m in MONTHS),
-)
-
-
 def q_sql_revenue_matrix_text(spark, sf_dir):
     """The revenue matrix as SQL text over the library's functions."""
-    registry = default_registry()
-    registry["revenue in sql"] = NamedQuery.from_sql(
-        "Revenue by month", REVENUE_SQL, kind=label_text(CONFIG.revenue_kind), total_label=CONFIG.total_label
-    )
-    return registry.run("revenue in sql", ledger(spark, sf_dir), CONFIG)
+    return sql_queries(CONFIG)["revenue"].build(ledger(spark, sf_dir), CONFIG, [])
+
+
+def q_sql_keyed_revenue_text(spark, sf_dir):
+    return sql_queries(CONFIG, UNIT)["revenue"].build(ledger(spark, sf_dir, keyed=True), CONFIG, UNIT)
+
+
+def q_sql_expense_matrix_text(spark, sf_dir):
+    return sql_queries(CONFIG)["expense"].build(ledger(spark, sf_dir), CONFIG, [])
+
+
+def q_sql_surplus_text(spark, sf_dir):
+    return sql_queries(CONFIG)["surplus"].build(ledger(spark, sf_dir), CONFIG, [])
+
+
+def q_sql_keyed_surplus_text(spark, sf_dir):
+    return sql_queries(CONFIG, UNIT)["surplus"].build(ledger(spark, sf_dir, keyed=True), CONFIG, UNIT)
 
 
 def q_sql_functions(spark, sf_dir):

@@ -5,7 +5,7 @@ as the ledger's amounts. Sums of sums are exact, and the settings of a report (i
 kinds) apply to cells as they do to postings, so ``CellStore.read`` is a ledger of its own: every
 report of it equals that of all postings.
 
-Late postings are summed and added to the cells of just the months they touch; where postings were
+Late postings, once or as a stream, are summed and added to the cells of just the months they touch; where postings were
 corrected or removed, ``rebuild`` sums those months again. Months are parts of a ``Published``
 folder, so a change takes effect for all its months at once, or not at all, and each batch of late
 postings counts once however often it is sent.
@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions.dates import month_start
 from ledgerloom.functions.text import label_key
@@ -116,6 +117,20 @@ class CellStore:
         self.published.commit(run, self._write(merged, run, "cells"), batch)
         return sorted(added)
 
+    def follow(self, late: DataFrame, name: str, checkpoint: str, **trigger: object) -> StreamingQuery:
+        """Start a streaming query that adds each micro-batch of late postings as it arrives.
+        ``trigger`` is as for ``DataStreamWriter.trigger``: by default all there is, then it ends.
+
+        A micro-batch is a batch of the store by ``name`` and number, so one that is run again
+        after a failure counts once."""
+
+        def apply(postings: DataFrame, number: int) -> None:
+            store = CellStore(postings.sparkSession, self.published.path, self.keys)
+            store.add(postings, f"{name}-{number}")
+
+        trigger = trigger or {"availableNow": True}
+        return late.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
     def rebuild(self, ledger: DataFrame, months: Iterable[date], batch: str | None = None) -> None:
         """Sum the postings of ``months`` again, reading no others; their former cells go."""
         months = [day.replace(day=1) for day in months]

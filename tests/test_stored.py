@@ -11,7 +11,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ledgerloom import MoneyStyle, NamedQuery, Reclass, ReportConfig, expense_matrix, report_bundle, revenue_matrix, surplus
+from ledgerloom import MoneyStyle, NamedQuery, Reclass, ReportConfig, default_registry, expense_matrix, report_bundle, revenue_matrix, surplus
 from ledgerloom.config import BRL, BRL_INNER, BRL_POINT
 from ledgerloom.functions.money import WHITE_SPACE, format_money, money_reject_samples, parse_money
 from ledgerloom.functions.sql import sql_functions
@@ -19,6 +19,7 @@ from ledgerloom.operators.audit import CLASSES, Audit
 from ledgerloom.operators.lookup import lookup_value
 from ledgerloom.plans import delivery
 from ledgerloom.plans.delivery import publish_report, read_published
+from ledgerloom.plans.sql_reports import sql_queries
 from ledgerloom.plans.stored import store_matrix, stored_surplus
 from ledgerloom.sources.cells import CellStore, month_cells, months_range
 from ledgerloom.sources.ledger import LEDGER_SCHEMA, read_ledger, read_stored_ledger, write_ledger
@@ -114,6 +115,20 @@ class TestCells:
             assert bound in pushed
         assert "2001-04-01" not in pushed
 
+    def test_a_stream_of_late_postings(self, spark, postings, tmp_path):
+        """Three files one by one, then the stream's progress is lost and it starts over."""
+        store = CellStore(spark, str(tmp_path / "cells"), UNIT)
+        store.write(postings.where("sub_code IS NULL OR sub_code = 'c0'"))
+        inbox = str(tmp_path / "inbox")
+        for part in ("sub_code = 'c1' AND month(entry_date) < 6", "sub_code = 'c1' AND (month(entry_date) >= 6 OR entry_date IS NULL)", "sub_code = 'c2'"):
+            postings.where(part).coalesce(1).write.mode("append").parquet(inbox)
+        late = spark.readStream.schema(postings.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        for attempt in ("a", "b"):
+            store.follow(late, "inbox", str(tmp_path / f"progress-{attempt}")).awaitTermination()
+            assert store.published.batches() == {"inbox-0", "inbox-1", "inbox-2"}
+            assert reports(store.read(2001)) == reports(postings)
+            assert rows(month_cells(store.read(), UNIT)) == rows(month_cells(postings, UNIT))
+
     def test_rebuilt_months(self, spark, postings, tmp_path):
         store = CellStore(spark, str(tmp_path), UNIT)
         store.write(postings.withColumn("amount", F.when(F.month("entry_date") == 3, 1).otherwise(F.col("amount")).cast("decimal(26,8)")))
@@ -325,3 +340,29 @@ class TestSqlFunctions:
         df = query.build(postings.select(LEDGER_SCHEMA.fieldNames()), CFG, [])
         want = postings.groupBy(F.upper(F.rtrim("account")).alias("label")).agg(format_money(F.sum("amount")).alias("text"))
         assert rows(df) == rows(want) and "Python" not in run_plan(df)
+
+
+class TestSqlReports:
+    @pytest.mark.parametrize("keys", [[], UNIT])
+    @pytest.mark.parametrize("change", [{}, {"excluded_account": None}, {"missing_as_zero": True, "as_of": date(2001, 12, 3)}])
+    def test_same_as_the_builders(self, spark, postings, keys, change):
+        cfg = replace(CFG, **change)
+        for name, query in sql_queries(cfg, keys).items():
+            got, want = query.build(postings, cfg, keys), default_registry().run(name, postings, cfg, keys)
+            assert rows(got.select(want.columns)) == rows(want), name
+            assert query.title == dict(zip(("expense", "revenue", "surplus"), cfg.section_titles))[name]
+
+    @pytest.mark.parametrize("keys", [[], UNIT])
+    def test_nothing_posted(self, spark, postings, keys):
+        for name, query in sql_queries(CFG, keys).items():
+            got, want = query.build(postings.limit(0), CFG, keys), default_registry().run(name, postings.limit(0), CFG, keys)
+            assert rows(got.select(want.columns)) == rows(want), name
+
+    def test_plans(self, spark, postings, tmp_path, whole_filters):
+        postings.write.parquet(str(tmp_path / "ledger"))
+        ledger = read_ledger(spark, str(tmp_path / "ledger"), keys=UNIT)
+        for name, query in sql_queries(CFG, UNIT).items():
+            plan = run_plan(query.build(ledger, CFG, UNIT))
+            pushed = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)
+            assert pushed and all("GreaterThanOrEqual(entry_date,2001-01-01)" in p for p in pushed), name
+            assert "Python" not in plan and "partial_sum" in plan
