@@ -423,6 +423,7 @@ ORACLES: dict[str, str] = {
     "long_section_documents": documents("", LONG),
     "subcent_expense_matrix": SUBCENT_MATRIX,
     "late_postings_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
+    "streamed_postings_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
     "rebuilt_months_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",
     "published_report": f"WITH {BUNDLE} SELECT * FROM bundle",
     "stored_ledger_bundle": f"WITH {BUNDLE} SELECT * FROM bundle",

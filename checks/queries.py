@@ -454,6 +454,17 @@ def q_late_postings_bundle(spark, sf_dir):
     return report_bundle(store.read(CONFIG.year), CONFIG, UNIT)
 
 
+def q_streamed_postings_bundle(spark, sf_dir):
+    """Cells that start empty and get all postings as a stream of files."""
+    folder = scratch_folder(spark)
+    postings = ledger(spark, sf_dir, keyed=True).where(F.year("entry_date") == CONFIG.year)
+    postings.repartition(2).write.parquet(f"{folder}/inbox")
+    late = spark.readStream.schema(postings.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/inbox")
+    store = CellStore(spark, f"{folder}/cells", UNIT)
+    store.follow(late, "inbox", f"{folder}/progress").awaitTermination()
+    return report_bundle(store.read(CONFIG.year), CONFIG, UNIT)
+
+
 def q_rebuilt_months_bundle(spark, sf_dir):
     """Cells of wrong amounts in two months, which are then summed again."""
     postings = ledger(spark, sf_dir, keyed=True)

@@ -34,8 +34,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return builder.getOrCreate()
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """New folder below the shared folder the cluster names in ``spark.checkpoint.dir``, or else
-    below its warehouse, which all executors share too."""
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of all scratch of this Spark application, below the shared folder the cluster names in
+    ``spark.checkpoint.dir``, or else below its warehouse, which all executors share too."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}"
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """New folder below ``scratch_root``. It belongs to whoever asked for it; what nobody removed
+    goes with ``remove_scratch``."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder in whatever store it is; False if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete all scratch of this application. Frames that read it are lazy, so call this when what
+    was made of them is written."""
+    return remove_folder(spark, scratch_root(spark))

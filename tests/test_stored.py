@@ -21,6 +21,7 @@ from ledgerloom.plans import delivery
 from ledgerloom.plans.delivery import publish_report, read_published
 from ledgerloom.plans.sql_reports import sql_queries
 from ledgerloom.plans.stored import store_matrix, stored_surplus
+from ledgerloom.session import remove_scratch, scratch_folder
 from ledgerloom.sources.cells import CellStore, month_cells, months_range
 from ledgerloom.sources.ledger import LEDGER_SCHEMA, read_ledger, read_stored_ledger, write_ledger
 from ledgerloom.sources.published import Published
@@ -366,3 +367,13 @@ class TestSqlReports:
             pushed = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)
             assert pushed and all("GreaterThanOrEqual(entry_date,2001-01-01)" in p for p in pushed), name
             assert "Python" not in plan and "partial_sum" in plan
+
+
+def test_scratch_is_one_folder_that_goes(spark):
+    folders = [scratch_folder(spark) for _ in range(2)]
+    assert len({f.rsplit("/", 1)[0] for f in folders}) == 1 and folders[0] != folders[1]
+    for folder in folders:
+        spark.range(3).write.parquet(folder)
+    assert remove_scratch(spark) and not remove_scratch(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(folders[0])
