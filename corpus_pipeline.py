@@ -1,7 +1,14 @@
 """Corpus preparation: each stage reads all that the stage before it kept.
 
 Every function takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as
-Parquet in the shared folder and reads it again as the next stage's documents.
+Parquet in the shared folder and reads it again as the next stage's documents. The tables belong to
+the caller: ``ledgerloom.session.remove_scratch`` deletes them when the result is written.
+
+Defined results: every stage but the last returns the columns it got, whatever they are called. Null
+and empty texts fail the rules, so they go first. A null doc_id is an id of its own; of near
+duplicates the smallest doc_id stays, a null one only among null ones. Rows equal in doc_id and text
+stay as often as they are there, and passages that they share are then repeated passages. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
