@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep
+from .shared import forget, keep
 
 
 def _pairs(links: DataFrame, high: str, low: str) -> DataFrame:
@@ -18,7 +18,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Each step is an aggregate and a join, so a node with very many links is a hot key that
     partial sums and adaptive joins take apart; no neighbourhood is gathered. Every round is
-    written to the shared folder.
+    written to the shared folder, and the one before it deleted. A link with a null end is left out.
     """
     links = keep(_pairs(links.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")), "x", "y"))
     before = None
@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
         # small star: what a node has below it, and the node itself, move to the smallest below
         least = large.groupBy("high").agg(F.min("low").alias("m"))
         joined = large.join(least, "high")
-        links = keep(_pairs(joined.select("low", "m").union(joined.select("high", "m")), "low", "m"))
+        former, links = links, keep(_pairs(joined.select("low", "m").union(joined.select("high", "m")), "low", "m"))
+        forget(former)
         now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("high", "low")), F.sum(F.hash("high", "low").cast("long"))).first()
         if now == before:
             break

@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import remove_folder, scratch_root
+
 #: Rows of a batch that goes to a Python worker: texts are large, so far fewer than Spark's default.
 BATCH_ROWS = 1000
 #: Stands for a null doc_id in keys; sorts before every other.
@@ -15,16 +17,24 @@ NO_ID = -(2**63)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is named (tests), one below the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return (root or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints").rstrip("/")
+    """This application's folder below the one that driver and executors share. Tables kept there
+    belong to whoever runs the operator: ``session.remove_scratch`` deletes them all, once what was
+    made of the (lazy) results is written."""
+    return scratch_root(spark)
 
 
 def keep(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends there."""
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._kept_at = path
+    return kept
+
+
+def forget(kept: DataFrame) -> None:
+    """Delete a kept table that nothing will read any more."""
+    remove_folder(kept.sparkSession, kept._kept_at)
 
 
 def broadcast_if_small(kept: DataFrame, rows: int = 500_000) -> DataFrame:

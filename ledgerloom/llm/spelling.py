@@ -279,7 +279,7 @@ def variants(docs: DataFrame, round_parts: int = ROUND_PARTS) -> DataFrame:
     hops = joined.where(F.col("form").isNotNull()).select("word", F.col("form").alias("root"))
     done = 1
     while done < steps:  # roots lie ``done`` steps ahead, or are the last
-        hops = keep(hops)
+        hops = keep(hops)  # read again by what is returned
         ahead = hops.select(F.col("word").alias("root"), F.col("root").alias("farther"))
         hops = hops.join(ahead, "root", "left").select("word", F.coalesce("farther", "root").alias("root"))
         done *= 2

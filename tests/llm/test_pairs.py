@@ -102,6 +102,14 @@ def test_components_of_a_star_a_path_and_loops(spark):
     got = {r.node: r.component for r in df.collect()}
     assert got == {**{i: 0 for i in range(200)}, **{i: 1000 for i in range(1000, 1061)}}
     assert components(spark.createDataFrame([], "x long, y long")).count() == 0
+    some = components(spark.createDataFrame([(1, None), (None, 2), (None, None), (3, 4)], "x long, y long"))
+    assert sorted(map(tuple, some.collect())) == [(3, 3), (4, 3)]
+
+
+def test_rounds_leave_one_table(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("ledgerloom.llm.shared.shared_dir", lambda _: str(tmp_path))
+    assert components(spark.createDataFrame([(i, i + 1) for i in range(40)], "x long, y long")).count() == 41
+    assert len(list(tmp_path.iterdir())) == 1
 
 
 SCHEMA = T.StructType([

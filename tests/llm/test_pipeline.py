@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -72,6 +73,27 @@ def test_token_stage_is_the_result_of_run(spark, steps):
     assert sorted(map(repr, got)) == sorted(map(repr, rows))
 
 
+def test_edges(spark, make_docs, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing columns pass through all stages."""
+    given = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    kept = sorted(r.doc_id for r in quality_rules.accepted(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect())[:12]
+    rows = [(i, given[i]) for i in kept]
+    rows += [(900, None), (901, ""), (None, None), (None, given[kept[0]]), (902, given[kept[1]]), rows[2], rows[2], (903, " ".join(given[i] for i in kept) * 3)]
+    docs = make_docs(rows).withColumn("n_chars", F.length("text").cast("long"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    current = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        current = corpus_pipeline.keep(stage(spark, current, str(tmp_path)))
+        assert current.columns == docs.columns
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in found} <= set(kept) | {903, None} and found
+
+
+def test_an_empty_table(spark, make_docs, tmp_path):
+    make_docs([]).withColumn("n_chars", F.lit(0).cast("long")).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_a_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
     assert numbers == list(range(1, 14))
