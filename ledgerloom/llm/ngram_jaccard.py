@@ -21,7 +21,7 @@ several n-grams share does no harm.
 Defined results: a null, empty or blank text has an empty set, no links, and is its own component
 (each null doc_id too); under that many words the whole sequence is the one n-gram; A-Z count as
 a-z; rows of equal doc_id are separate texts of that id; n-grams are told apart by 56 bits of a
-hash, sets by 128 bits, classes in the link graph by 64.
+hash, sets by 128 bits.
 """
 
 from __future__ import annotations
@@ -139,7 +139,12 @@ def _key(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _classes(levels: np.ndarray, measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _nodes(halves: np.ndarray, bits: int) -> np.ndarray:
+    """Short names of classes: ``bits`` of the first half of their keys."""
+    return halves[:, 0] >> (64 - bits)
+
+
+def _classes(levels: np.ndarray, measure: Measure, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Class of each document's set, and its size."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,14 +152,14 @@ def _classes(levels: np.ndarray, measure: Measure) -> Callable[[Iterator[pa.Reco
             sets = [(_key(tokens), len(tokens)) for chunk in chunks(batch.column(2)) for tokens in _sets(chunk, levels, measure.gram)]
             halves = np.frombuffer(b"".join(k for k, _ in sets), dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
+                batch.column(0), batch.column(1), pa.array(_nodes(halves, bits)), pa.array(halves[:, 1].copy()),
                 pa.array([n for _, n in sets], pa.int64()),
             ], names=["_d", "_t", "node", "more", "n"])
 
     return work
 
 
-def _postings(levels: np.ndarray, measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _postings(levels: np.ndarray, measure: Measure, bits: int, shared: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The first tokens of each document's set, with its class and size."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,11 +168,13 @@ def _postings(levels: np.ndarray, measure: Measure) -> Callable[[Iterator[pa.Rec
                 firsts, nodes, sizes = [np.empty(0, dtype=np.int64)], [], []
                 for tokens in _sets(chunk, levels, measure.gram):
                     firsts.append(tokens[: measure.first_of(len(tokens))])
-                    nodes.append(_key(tokens)[:8])
+                    nodes.append(_key(tokens))
                     sizes.append(len(tokens))
                 count = [len(x) for x in firsts[1:]]
                 tokens = np.concatenate(firsts)
-                node = np.repeat(np.frombuffer(b"".join(nodes), dtype=np.int64), count)
+                halves = np.frombuffer(b"".join(nodes), dtype=np.int64).reshape(-1, 2)
+                node = _nodes(halves, bits)
+                node = np.repeat(np.where(np.isin(node, shared), halves[:, 1], node), count)
                 frequent = tokens >> HASH_BITS > 0
                 yield pa.RecordBatch.from_arrays([
                     pa.array(tokens), pa.array(np.where(frequent, node % SALTS, 0).astype(np.int32)), pa.array(node),
@@ -370,14 +377,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, levels: np.nd
     return _links(pairs, keep(segments), measure)
 
 
-def memberships(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
+def memberships(docs: DataFrame, measure: Measure = Measure(), bits: int = 64) -> DataFrame:
     """``_d``, ``_t`` and set size ``n`` of every document, and ``_component``: the smallest doc_id
-    of the documents it is connected with (its own if it has no links)."""
+    of the documents it is connected with (its own if it has no links).
+
+    Classes go by ``bits`` of their keys while links are looked for. Where two classes have the same,
+    both go by the other half of their keys instead."""
     base = identified(docs)
     texts = base.select("_d", "_t", F.col("_row.text").alias("text"))
     levels = frequency_levels(docs, measure.gram)
-    rows = keep(texts.mapInArrow(_classes(levels, measure), "_d long, _t long, node long, more long, n long"))
-    postings = texts.select("text").mapInArrow(_postings(levels, measure), "token long, salt int, node long, n int")
+    rows = keep(texts.mapInArrow(_classes(levels, measure, bits), "_d long, _t long, node long, more long, n long"))
+    several = rows.groupBy("node").agg(F.min("more").alias("a"), F.max("more").alias("b")).where("a != b")
+    shared = np.array([r.node for r in several.collect()], dtype=np.int64)  # of 10^10 classes a few
+    if len(shared):
+        rows = rows.withColumn("node", F.when(F.col("node").isin(shared.tolist()), F.col("more")).otherwise(F.col("node")))
+    postings = texts.select("text").mapInArrow(_postings(levels, measure, bits, shared), "token long, salt int, node long, n int")
     postings = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "node")
     postings = keep(postings.mapInArrow(_shared, "token long, node long, n long, c long"))
     postings = keep(_thinned(postings, measure))

@@ -126,8 +126,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def shortened(docs: DataFrame) -> DataFrame:
-    """The documents with only their kept words, joined by spaces, and the columns they came with."""
+    """The documents with only their kept words, joined by spaces, and the columns they came with;
+    ``n_chars`` follows the text where it exists."""
     found = removed_spans(docs).select(F.col("_row.text"), "spans", "_row")
     row = found.schema["_row"].dataType
     out = found.mapInArrow(_shortened, T.StructType([T.StructField("_text", T.StringType()), T.StructField("_row", row)]))
-    return out.select(*[(F.col("_text") if c == "text" else F.col(f"_row.`{c}`")).alias(c) for c in row.names])
+    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast(row["n_chars"].dataType) if "n_chars" in row.names else None}
+    return out.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in row.names])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import substring_dedup, suffix_array_dedup, windows
 from ledgerloom.llm.arrays import chunks
@@ -72,6 +74,10 @@ def test_shortened_documents_keep_their_columns(make_docs, rows):
                   for (i, _), (d, gone) in zip(rows[:20], flags))
     assert sorted((r.doc_id, r.text) for r in out.collect()) == want
     assert substring_dedup.shortened(docs).columns == docs.columns
+    some = [r for r in rows[:20] if r[1] is not None]
+    out = substring_dedup.shortened(make_docs(some).withColumn("n_chars", F.lit(-1))).collect()
+    assert {(r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in out} == {(w[0], w[3]) for w in plain.repeated_words(some)}
+    assert all(r.n_chars == len(r.text) for r in out)
 
 
 @settings(max_examples=150, deadline=None)

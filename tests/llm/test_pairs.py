@@ -71,6 +71,12 @@ def test_a_large_group_of_near_copies(make_docs, size, most, gram, percent):
     assert sorted(map(tuple, got), key=repr) == want
 
 
+@pytest.mark.parametrize("bits", [3, 6])
+def test_classes_of_one_short_name(make_docs, rows, bits):
+    got = ngram_jaccard.memberships(make_docs(rows), bits=bits).selectExpr(f"nullif(_d, {-2**63}) AS doc_id", "n", "_component")
+    assert sorted(map(tuple, got.collect()), key=repr) == plain.components(rows)
+
+
 def test_texts_of_shared_phrases(make_docs):
     """Every n-gram is frequent and no two texts link: few pairs are compared."""
     rng = random.Random(8)
