@@ -10,8 +10,10 @@ window's worth of window starts, and the units they cover. Then
    shuffle, so thousands of copies arrive as one row per task),
 3. the different pieces of a key are fetched and indexed together, in batches of bounded size, by
    the operator's own index, which says which windows of a piece occur elsewhere,
-4. a key with more than ``MAX_PIECES`` different pieces is dealt out once more by its whole
-   windows, each counted by hash: exact, and no task holds the key.
+4. the pieces of a key with more than ``MAX_PIECES`` of them are dealt out once more, from step 1 on,
+   by another hash of their k-grams: windows that share one frequent k-gram rarely share the next
+   smallest too. After ``LEVELS`` hashes the key is the window itself, whose pieces are all equal. So
+   every window goes the same way, and no task holds a frequent key.
 
 Keys and pieces are told apart by two independent 64-bit hashes together.
 """
@@ -26,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BYTE_VALUE, Chunk, Stretches, as_bytes, chunks, column, sliding_min, spread
+from .arrays import BYTE_VALUE, U64, Chunk, Stretches, as_bytes, chunks, column, mix, sliding_min, spread
 from .shared import identified, keep
 
-#: Different pieces of one key that an index takes in; see step 4.
+#: Different pieces of one key that an index takes in, and how often more are dealt out again; see step 4.
 MAX_PIECES = 2048
+LEVELS = 3
 PLACE = ["_d", "_t", "at"]
 
 
@@ -100,37 +103,73 @@ def _own_repeats(grams: np.ndarray, key: np.ndarray, flags: np.ndarray, begin: n
     return np.searchsorted(chosen[pairs + 1], end + wide) > low
 
 
+def _keyed(kind: Kind, units: Units, level: int) -> tuple[np.ndarray, ...]:
+    """Begin and end of the chunk's pieces, their keys, hashes, and whether they may repeat a window
+    of their own."""
+    flags = units.windows(kind.size)
+    if not flags.any():
+        return (np.empty(0, dtype=np.int64),) * 5
+    whole = Stretches(units.values)
+    if level < LEVELS:
+        grams = whole.every(kind.gram)
+        grams = mix(grams + U64(level)) if level else grams
+    else:
+        grams = whole.every(kind.size)
+    key = sliding_min(grams, kind.size - (kind.gram if level < LEVELS else kind.size) + 1)
+    same = np.ones(len(key), dtype=bool)
+    same[1:] = key[1:] == key[:-1]
+    begin, end = runs(flags, same)
+    parts = -(-(end - begin) // kind.longest)
+    begin = kind.longest * spread(np.zeros(len(parts), dtype=np.int64), parts) + np.repeat(begin, parts)
+    end = np.minimum(begin + kind.longest, np.repeat(end, parts))
+    own = _own_repeats(grams, key, flags, begin, end)
+    return begin, end, key[begin], whole(begin, end + kind.size - 1), own
+
+
+ROWS = "key long, piece long, _d long, _t long, at long, n int, times int"
+
+
 def _scan(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    names = ["key", "piece", *PLACE, "n", "times"]
+    """The pieces of the documents."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for chunk in chunks(batch.column(2)):
                 units = Units(chunk, kind.words)
-                flags = units.windows(kind.size)
-                if not flags.any():
+                begin, end, key, piece, own = _keyed(kind, units, 0)
+                if not len(begin):
                     continue
-                whole = Stretches(units.values)
-                grams = whole.every(kind.gram)
-                key = sliding_min(grams, kind.size - kind.gram + 1)
-                same = np.ones(len(key), dtype=bool)
-                same[1:] = key[1:] == key[:-1]
-                begin, end = runs(flags, same)
-                parts = -(-(end - begin) // kind.longest)
-                begin = kind.longest * spread(np.zeros(len(parts), dtype=np.int64), parts) + np.repeat(begin, parts)
-                end = np.minimum(begin + kind.longest, np.repeat(end, parts))
                 doc = np.searchsorted(units.bounds, begin, side="right") - 1
                 yield pa.RecordBatch.from_arrays([
-                    column(key[begin]), column(whole(begin, end + kind.size - 1)),
-                    column(d[chunk.first + doc]), column(t[chunk.first + doc]),
-                    column(begin - units.bounds[doc]), column((end - begin).astype(np.int32)),
-                    column(1 + _own_repeats(grams, key, flags, begin, end).astype(np.int32)),
-                ], names=names)
+                    column(key), column(piece), column(d[chunk.first + doc]), column(t[chunk.first + doc]),
+                    column(begin - units.bounds[doc]), column((end - begin).astype(np.int32)), column(1 + own.astype(np.int32)),
+                ], names=["key", "piece", *PLACE, "n", "times"])
 
     return scan
 
 
+def _rescan(kind: Kind, level: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pieces of the pieces of frequent keys, by another hash and the key before."""
+
+    def rescan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, d, t, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            for chunk in chunks(batch.column("units")):
+                units = Units(chunk, kind.words)
+                begin, end, key, piece, own = _keyed(kind, units, level)
+                if not len(begin):
+                    continue
+                doc = np.searchsorted(units.bounds, begin, side="right") - 1
+                old = chunk.first + doc
+                yield pa.RecordBatch.from_arrays([
+                    column(mix(key + mix(before[old].view(U64)))), column(piece), column(d[old]), column(t[old]),
+                    column(at[old] + begin - units.bounds[doc]), column((end - begin).astype(np.int32)), column(1 + own.astype(np.int32)),
+                ], names=["key", "piece", *PLACE, "n", "times"])
+
+    return rescan
+
+
 def _cut(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """From (_d, _t, _row, list of pieces of the document): a row for each piece, with its bytes."""
 
@@ -211,65 +250,6 @@ def _indexed(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return indexed
 
 
-def _windows(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Every window of the pieces by its own hash, with all its places in the batch at hand: a
-    window that very many pieces share arrives as one row per batch."""
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("key", *PLACE, "c")}
-            found: dict[str, list[np.ndarray]] = {name: [] for name in ("key", "window", *PLACE, "c")}
-            for chunk in chunks(batch.column("units")):
-                units = Units(chunk, kind.words)
-                begin = np.flatnonzero(units.windows(kind.size))
-                doc = np.searchsorted(units.bounds, begin, side="right") - 1
-                for name in ("key", "_d", "_t", "c"):
-                    found[name].append(col[name][chunk.first + doc])
-                found["at"].append(begin - units.bounds[doc] + col["at"][chunk.first + doc])
-                found["window"].append(Stretches(units.values)(begin, begin + kind.size))
-            rows = {name: np.concatenate(parts) for name, parts in found.items()}
-            order = np.lexsort([rows[name] for name in ("at", "_t", "_d", "key", "window")])
-            rows = {name: x[order] for name, x in rows.items()}
-            same = (rows["window"][1:] == rows["window"][:-1]) & (rows["key"][1:] == rows["key"][:-1])
-            again = same & np.all([rows[name][1:] == rows[name][:-1] for name in PLACE], axis=0)
-            fresh = np.append(True, ~again)[: len(order)]  # a row of documents that comes twice is one document
-            rows = {name: x[fresh] for name, x in rows.items()}
-            first = np.flatnonzero(np.append(True, ~same)[: len(order)][fresh])
-            bounds = pa.array(np.append(first, len(rows["at"])).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([
-                column(rows["key"][first]), column(rows["window"][first]),
-                column(np.add.reduceat(rows["c"], first) if len(first) else rows["c"]),
-                *(column(rows[name][first]) for name in PLACE),
-                *(pa.ListArray.from_arrays(bounds, column(rows[name])) for name in PLACE),
-                column(np.full(len(first), rows["window"][:1].sum())),
-            ], names=["key", "window", "c", *PLACE, *(name + "s" for name in PLACE), "batch"])
-
-    return windows
-
-
-def _joined(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From places of repeated windows: the stretches that neighbouring windows cover."""
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            d, t, at = (batch.column(i).flatten().to_numpy() for i in range(3))
-            if kind.first_stays:
-                sizes = batch.column(0).value_lengths().to_numpy()
-                first = [np.repeat(batch.column(i).to_numpy(), sizes) for i in range(3, 6)]
-                later = (d != first[0]) | (t != first[1]) | (at != first[2])
-                d, t, at = d[later], t[later], at[later]
-            order = np.lexsort((at, t, d))
-            d, t, at = d[order], t[order], at[order]
-            begin, end = runs(np.ones(len(d), dtype=bool), np.append(
-                True, (d[1:] == d[:-1]) & (t[1:] == t[:-1]) & (at[1:] - at[:-1] <= 1))[: len(d)])
-            yield pa.RecordBatch.from_arrays(
-                [column(d[begin]), column(t[begin]), column(at[begin]), column(at[end - 1] - at[begin] + kind.size)],
-                names=[*PLACE, "len"],
-            )
-
-    return joined
-
-
 def _place(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + c) for c in PLACE])
 
@@ -278,43 +258,38 @@ def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
     """``_d``, ``_t``, ``_row`` of every document and ``spans``: sorted (at, len) stretches of
     units that repeated windows cover; null where there are none. Stretches may overlap."""
     base = identified(docs)
-    rows = base.select("_d", "_t", F.col("_row.text").alias("text")).mapInArrow(
-        _scan(kind), "key long, piece long, _d long, _t long, at long, n int, times int"
-    )
-    shared_keys = rows.groupBy("key").agg(F.sum("times").alias("c")).where("c > 1").select("key")
-    # only keys that occur twice are in the hashed side, once each
-    rows = keep(rows.join(shared_keys.hint("shuffle_hash"), "key", "left_semi"))
-    heads = rows.groupBy("key", "piece").agg(
-        F.count("*").alias("c"), F.max("times").alias("times"), F.min(F.struct(*PLACE, "n")).alias("first")
-    )
-    copies = rows.join(heads.where("c > 1").select("key", "piece", "first"), ["key", "piece"])
-    if kind.first_stays:
-        copies = copies.where(_place() != _place("first."))
-    found = copies.select(*PLACE, (F.col("n") + (kind.size - 1)).cast("long").alias("len"))
-
-    per_key = heads.groupBy("key").agg(F.count("*").alias("m"), F.sum("times").alias("times")).where("times > 1").drop("times")
-    several = keep(heads.join(per_key, "key").select("key", "first.*", "c", (F.col("m") > MAX_PIECES).alias("many")))
-
-    def pieces(many: bool) -> DataFrame:
-        wanted = several.where(F.col("many") == many).groupBy("_d", "_t").agg(
-            F.collect_list(F.struct("key", "at", "n", "c")).alias("wanted")
-        )
+
+    def pieces(several: DataFrame) -> DataFrame:
+        wanted = several.groupBy("_d", "_t").agg(F.collect_list(F.struct("key", "at", "n", "c")).alias("wanted"))
         return base.join(wanted, ["_d", "_t"]).mapInArrow(
             _cut(kind), "key long, _d long, _t long, at long, n int, c long, units binary"
         )
 
-    indexed = pieces(False).repartition("key").sortWithinPartitions("key")
-    found = found.union(indexed.mapInArrow(_indexed(kind), "_d long, _t long, at long, len long"))
-    if not several.where("many").isEmpty():
-        lists = ", ".join(f"{name}s array<long>" for name in PLACE)
-        every = pieces(True).mapInArrow(
-            _windows(kind), f"key long, window long, c long, _d long, _t long, at long, {lists}, batch long"
+    rows = base.select("_d", "_t", F.col("_row.text").alias("text")).mapInArrow(_scan(kind), ROWS)
+    parts = []
+    for level in range(LEVELS + 1):
+        shared_keys = rows.groupBy("key").agg(F.sum("times").alias("c")).where("c > 1").select("key")
+        # only keys that occur twice are in the hashed side, once each
+        rows = keep(rows.join(shared_keys.hint("shuffle_hash"), "key", "left_semi"))
+        heads = rows.groupBy("key", "piece").agg(
+            F.count("*").alias("c"), F.max("times").alias("times"), F.min(F.struct(*PLACE, "n")).alias("first")
         )
-        counts = every.groupBy("key", "window").agg(F.sum("c").alias("total"), F.min(_place()).alias("first"))
-        again = every.drop(*PLACE).join(counts.where("total > 1"), ["key", "window"])
-        # rows of a batch hold neighbouring windows of the same pieces
-        again = again.select(*[name + "s" for name in PLACE], "first.*", "batch").repartition("batch")
-        found = found.union(again.mapInArrow(_joined(kind), "_d long, _t long, at long, len long"))
+        copies = rows.join(heads.where("c > 1").select("key", "piece", "first"), ["key", "piece"])
+        if kind.first_stays:
+            copies = copies.where(_place() != _place("first."))
+        parts.append(copies.select(*PLACE, (F.col("n") + (kind.size - 1)).cast("long").alias("len")))
+
+        per_key = heads.groupBy("key").agg(F.count("*").alias("m"), F.sum("times").alias("times")).where("times > 1").drop("times")
+        many = (F.col("m") > MAX_PIECES) & F.lit(level < LEVELS)
+        several = keep(heads.join(per_key, "key").select("key", "first.*", "c", many.alias("many")))
+        indexed = pieces(several.where("NOT many")).repartition("key").sortWithinPartitions("key")
+        parts.append(indexed.mapInArrow(_indexed(kind), "_d long, _t long, at long, len long"))
+        if level == LEVELS or several.where("many").isEmpty():
+            break
+        rows = pieces(several.where("many")).mapInArrow(_rescan(kind, level + 1), ROWS)
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.union(part)
     spans = found.groupBy("_d", "_t").agg(F.array_sort(F.collect_list(F.struct("at", "len"))).alias("spans"))
     return base.join(spans, ["_d", "_t"], "left")
 

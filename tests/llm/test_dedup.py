@@ -47,8 +47,9 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("pieces", [windows.MAX_PIECES, 3])
+@pytest.mark.parametrize("pieces", [windows.MAX_PIECES, 3, 1])
 def test_both(make_docs, rows, monkeypatch, pieces):
+    """With many pieces of a key allowed, with few, and with one: all are dealt out to the last."""
     monkeypatch.setattr(windows, "MAX_PIECES", pieces)
     docs = make_docs(rows).repartition(5)
     got = [tuple(r) for r in suffix_array_dedup.report(docs).collect()]
@@ -59,6 +60,19 @@ def test_both(make_docs, rows, monkeypatch, pieces):
     assert sorted(got, key=repr) == plain.repeated_words(some)
 
 
+def test_a_key_with_thousands_of_pieces(make_docs):
+    """One rare-hashed phrase in the middle of 3,000 different surroundings, some of them shared."""
+    rng = random.Random(6)
+    phrase = "the one phrase that all of them have in common".split()
+    sides = [prose(rng, 14) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(sides)[: rng.randrange(5, 15)] + phrase + rng.choice(sides)[: rng.randrange(5, 15)])) for i in range(3000)]
+    got = [tuple(r) for r in substring_dedup.report(make_docs(rows)).collect()]
+    assert sorted(got, key=repr) == plain.repeated_words(rows)
+    some = rows[:900]
+    got = [tuple(r) for r in suffix_array_dedup.report(make_docs(some)).collect()]
+    assert sorted(got, key=repr) == plain.repeated_bytes(some)
+
+
 def test_empty_table(make_docs):
     docs = make_docs([])
     assert suffix_array_dedup.report(docs).count() == 0
