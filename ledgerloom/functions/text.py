@@ -27,3 +27,8 @@ def html_row(cells: list[Column]) -> Column:
 def sql_text(text: str) -> str:
     """A text as a SQL literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_name(name: str) -> str:
+    """A column name in SQL."""
+    return "`" + name.replace("`", "``") + "`"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from ledgerloom.config import MONEY, RAW, ReportConfig, label_text
-from ledgerloom.functions.text import sql_text
+from ledgerloom.functions.text import sql_name, sql_text
 from ledgerloom.plans.registry import NamedQuery
 
 
@@ -18,12 +18,14 @@ class _Parts:
     """Lists of columns that the texts share."""
 
     def __init__(self, cfg: ReportConfig, keys: Sequence[str]) -> None:
-        self.cfg, self.months = cfg, [f"`{m}`" for m in cfg.month_labels]
-        self.keys = "".join(f"`{k}`, " for k in keys)
-        self.by = ", ".join([*[f"`{k}`" for k in keys], "account"])
-        self.group = f"GROUP BY {', '.join(f'`{k}`' for k in keys)}" if keys else ""
-        self.same = lambda a, b: " AND ".join([f"{a}.`{k}` <=> {b}.`{k}`" for k in keys] or ["true"])
-        self.names = ", ".join(f"{sql_text(m)} AS `{m}`" for m in cfg.month_labels)
+        self.cfg, self.months = cfg, [sql_name(m) for m in cfg.month_labels]
+        self.amounts, self.marks = ([sql_name(f"{m}_{part}") for m in cfg.month_labels] for part in ("amount", "mark"))
+        names = [sql_name(k) for k in keys]
+        self.keys = "".join(f"{k}, " for k in names)
+        self.by = [*names, "account"]
+        self.group = f"GROUP BY {', '.join(names)}" if keys else ""
+        self.same = lambda a, b: " AND ".join([f"{a}.{k} <=> {b}.{k}" for k in names] or ["true"])
+        self.names = ", ".join(f"{sql_text(m)} AS {sql_name(m)}" for m in cfg.month_labels)
         self.row_total = " + ".join(f"coalesce({m}, 0)" for m in self.months)
         self.year = "entry_date >= :first_day AND entry_date < :next_first_day"
 
@@ -48,7 +50,7 @@ def _revenue(p: _Parts) -> str:
 ),
 revenue_grid AS (SELECT e.*, g.account, g.month FROM {entities} e CROSS JOIN report_grid() g),
 dense AS (
-    SELECT g.*, c.amount, lag(c.amount) OVER (PARTITION BY {", ".join("g." + k for k in p.by.split(", "))} ORDER BY g.month) AS previous
+    SELECT g.*, c.amount, lag(c.amount) OVER (PARTITION BY {", ".join(f"g.{k}" for k in p.by)} ORDER BY g.month) AS previous
     FROM revenue_grid g LEFT JOIN revenue_cells c ON g.account = c.account AND g.month = c.month AND {p.same("g", "c")}
 ),
 carried AS (
@@ -61,8 +63,8 @@ wide AS (
     PIVOT (sum(amount) AS amount, max(mark) AS mark FOR name IN ({p.names}))
 ),
 revenue_numbers AS (
-    SELECT {p.keys}account, {", ".join(f"`{m}_amount` AS `{m}`, `{m}_mark`" for m in p.cfg.month_labels)},
-           {" + ".join(f"coalesce(`{m}_amount`, 0)" for m in p.cfg.month_labels)} AS total
+    SELECT {p.keys}account, {", ".join(f"{a} AS {m}, {mark}" for a, m, mark in zip(p.amounts, p.months, p.marks))},
+           {" + ".join(f"coalesce({a}, 0)" for a in p.amounts)} AS total
     FROM wide
 ),
 revenue_total AS ({p.sums(f"(SELECT e.*, {', '.join([*p.months, 'total'])} FROM {entities} e LEFT JOIN revenue_numbers n ON {p.same('e', 'n')})" if p.keys else "revenue_numbers")})"""
@@ -84,7 +86,7 @@ expense_total AS ({p.sums("expense_numbers")})"""
 def revenue_sql(cfg: ReportConfig, keys: Sequence[str] = ()) -> str:
     """The revenue matrix as text: [keys], label, rank, months, total."""
     p = _Parts(cfg, keys)
-    marked = ", ".join(f"concat(money_text({m}), `{name}_mark`) AS {m}" for name, m in zip(cfg.month_labels, p.months))
+    marked = ", ".join(f"concat(money_text({m}), {mark}) AS {m}" for m, mark in zip(p.months, p.marks))
     return f"""WITH {_revenue(p)}
 SELECT {p.keys}account AS label, revenue_rank(account) AS rank, {marked}, money_text(total) AS total FROM revenue_numbers
 UNION ALL
@@ -103,7 +105,7 @@ SELECT {p.keys}:total_label, {cfg.total_rank}, {p.texts()} FROM expense_total"""
 def surplus_sql(cfg: ReportConfig, keys: Sequence[str] = ()) -> str:
     """Both difference rows as text: [keys], label, rank, months, total."""
     p = _Parts(cfg, keys)
-    columns = "".join(f"coalesce(r.`{k}`, e.`{k}`) AS `{k}`, " for k in keys)
+    columns = "".join(f"coalesce(r.{k}, e.{k}) AS {k}, " for k in map(sql_name, keys))
     taken = "coalesce(x.{0}, 0)" if cfg.missing_as_zero else "x.{0}"
     plain = ", ".join(f"CAST(r.{m} - e.{m} AS {MONEY}) AS {m}" for m in p.months)
     reduced = ", ".join(f"CAST(r.{m} - CAST({taken.format(m)} AS {MONEY}) - e.{m} AS {MONEY}) AS {m}" for m in p.months)

@@ -91,7 +91,8 @@ class CellStore:
         """Cells by month below the run's folder; returns month -> place of the months written."""
         target = f"{self.published.folder(run)}/{place}"
         month = F.coalesce(F.date_format("entry_date", "yyyy-MM"), F.lit(NO_MONTH))
-        cells.withColumn("month", month).write.partitionBy("month").parquet(target)
+        # by month, large months in several files and small ones in few: adaptive execution sees to it
+        cells.withColumn("month", month).hint("rebalance", "month").write.partitionBy("month").parquet(target)
         # a row per month folder, found by listing
         schema = T.StructType([*self.schema.fields, T.StructField("month", T.StringType())])
         found = self.spark.read.schema(schema).parquet(target).select("month").distinct().collect()

@@ -42,7 +42,8 @@ class Published:
         """Lines of the manifest, one per published run."""
         if not self._exists(f"{self.path}/manifest"):
             return []
-        return self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.path}/manifest/*").orderBy("version", "run").collect()
+        lines = self.spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").json(f"{self.path}/manifest")
+        return lines.orderBy("version", "run").collect()
 
     def commit(self, run: str, parts: Mapping[str, str], batch: str | None = None) -> None:
         """Make a run current for ``parts``: part -> its place below the run's folder, '' for a part

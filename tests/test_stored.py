@@ -353,6 +353,15 @@ class TestSqlReports:
             assert rows(got.select(want.columns)) == rows(want), name
             assert query.title == dict(zip(("expense", "revenue", "surplus"), cfg.section_titles))[name]
 
+    def test_odd_names(self, spark, postings):
+        months = tuple(f"m`{i}' \\ é" for i in range(12))
+        cfg = replace(CFG, month_labels=months, total_label="it's \\ all")
+        keyed = postings.withColumnRenamed("unit", "my `unit")
+        for name, query in sql_queries(cfg, ["my `unit"]).items():
+            got = query.build(keyed, cfg, ["my `unit"])
+            want = default_registry().run(name, postings, replace(CFG, total_label="it's \\ all"), UNIT)
+            assert rows(got.drop("rank").toDF(*want.columns)) == rows(want), name
+
     @pytest.mark.parametrize("keys", [[], UNIT])
     def test_nothing_posted(self, spark, postings, keys):
         for name, query in sql_queries(CFG, keys).items():
