@@ -45,6 +45,8 @@ ROUND_PARTS = 32
 COUNTED = 100_000
 #: Places of words, one after the other, whose edits are probed at a time.
 PROBED = 1 << 16
+#: Words that a task probes: it does much work for few bytes, so their size says little about it.
+TASK_WORDS = 8_000
 
 RUN = re.compile("[a-zÀ-ÿ]+")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -230,6 +232,8 @@ def near_pairs(words: DataFrame, round_parts: int = ROUND_PARTS, part_blocks: in
         .groupBy("size", "part", "blocks").applyInArrow(_filtered(part_blocks), "size int, part int, bits binary")
     )
     all_parts = [(size, part) for size, n in sorted(blocks.items()) for part in range(-(-n // part_blocks))]
+    tasks = max(1, -(-sum(r["n"] for r in counts) // TASK_WORDS))
+    dealt = words.select("word", "h1", "h2").repartition(tasks, "h1")
     found = []
     for i in range(0, len(all_parts), round_parts):
         chosen = all_parts[i: i + round_parts]
@@ -240,7 +244,7 @@ def near_pairs(words: DataFrame, round_parts: int = ROUND_PARTS, part_blocks: in
         for row in parts.where(place.between(*bounds)).collect():  # round_parts rows of part_blocks * 64 bytes at most
             filters.setdefault(row["size"], {})[row["part"]] = np.frombuffer(row["bits"], dtype=U64).reshape(-1, 8)
         sent = spark.sparkContext.broadcast(filters)
-        probed = words.select("word", "h1", "h2").mapInArrow(_probe(sent, blocks, part_blocks), "h1 long, h2 long, s1 long, s2 long")
+        probed = dealt.mapInArrow(_probe(sent, blocks, part_blocks), "h1 long, h2 long, s1 long, s2 long")
         found.append(keep(probed))
         sent.unpersist()
     if not found:
