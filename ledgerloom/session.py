@@ -38,7 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
     """Folder of all scratch of this Spark application, below the shared folder the cluster names in
     ``spark.checkpoint.dir``, or else below its warehouse, which all executors share too."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}"
+    return f"{shared.rstrip('/')}/ledgerloom-{spark.conf.get('spark.app.id', 'scratch')}"
 
 
 def scratch_folder(spark: SparkSession) -> str:

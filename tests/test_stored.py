@@ -381,6 +381,7 @@ class TestSqlReports:
 def test_scratch_is_one_folder_that_goes(spark):
     folders = [scratch_folder(spark) for _ in range(2)]
     assert len({f.rsplit("/", 1)[0] for f in folders}) == 1 and folders[0] != folders[1]
+    assert spark.sparkContext.applicationId in folders[0]
     for folder in folders:
         spark.range(3).write.parquet(folder)
     assert remove_scratch(spark) and not remove_scratch(spark)
