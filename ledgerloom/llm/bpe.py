@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import spread
-from .shared import in_small_batches
+from .shared import in_small_batches, lean
 
 #: Stretches, words, and pairs of tokens, whose results a worker remembers at most, within a task.
 CACHE_ENTRIES = 250_000
@@ -232,13 +232,30 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 def _beside(rows: DataFrame, source: str, work, kind: T.DataType, name: str) -> DataFrame:
     packed = in_small_batches(rows).select(F.col(f"`{source}`").alias("ids"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"))
     schema = T.StructType([T.StructField("ids", kind), T.StructField("_row", packed.schema["_row"].dataType)])
-    out = packed.mapInArrow(work, schema)
+    out = packed.mapInArrow(lean(work), schema)
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in rows.columns if c != name], F.col("ids").alias(name))
 
 
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with ``ids``, their number ``n_tokens``, and the text ``decoded`` from them."""
-    return decode(encode(docs, path).withColumn("n_tokens", F.size("ids").cast("long")), path)
+    """``docs`` with ``ids``, their number ``n_tokens``, and the text ``decoded`` from them, in one go."""
+    made = T.StructType.fromDDL("ids array<int>, n_tokens long, decoded string")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = tokenizer(path)
+        kind = pa.struct([("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded", pa.string())])
+        for batch in batches:
+            found = [np.frombuffer(bpe.encode(x), dtype="<u4") for x in _texts(batch.column(0))]
+            sizes = np.array([len(x) for x in found], dtype=np.int64)
+            values = pa.array(np.concatenate(found).view(np.int32) if found else np.empty(0, dtype=np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), values)
+            texts = pa.array([bpe.decode(x).decode() for x in found], pa.string())
+            made_ = pa.StructArray.from_arrays([lists, pa.array(sizes), texts], fields=list(kind))
+            yield pa.RecordBatch.from_arrays([made_, batch.column(1)], names=["ids", "_row"])
+        bpe.forget()
+
+    out = _beside(docs, "text", work, made, "_made")
+    kept = [c for c in docs.columns if c not in made.names]
+    return out.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"_made.{c}").alias(c) for c in made.names])
 
 
 def report(docs: DataFrame, path: str) -> DataFrame:
@@ -257,5 +274,5 @@ def report(docs: DataFrame, path: str) -> DataFrame:
         bpe.forget()
 
     return in_small_batches(docs).select("doc_id", "text").mapInArrow(
-        work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        lean(work), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

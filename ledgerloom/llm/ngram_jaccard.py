@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 
 from .arrays import BYTE_VALUE, LOWER, U64, Chunk, Stretches, chunks, mix
 from .components import components
-from .shared import NO_ID, broadcast_if_small, doc_id_of, identified, keep
+from .shared import NO_ID, broadcast_if_small, doc_id_of, identified, keep, lean
 
 BUCKETS = 18
 FRAGMENTS = 8
@@ -118,7 +118,7 @@ def _counted(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 def frequency_levels(docs: DataFrame, gram: int) -> np.ndarray:
     """For each bucket 0 for about the mean count or less, else how many times it doubles that."""
-    counts = docs.select("text").mapInArrow(_counted(gram), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(lean(_counted(gram)), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     found = counts.toArrow()  # 2**BUCKETS rows at most, whatever the input
     n = np.zeros(1 << BUCKETS)
     n[found["bucket"].to_numpy()] = found["n"].to_numpy()
@@ -372,7 +372,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, levels: np.nd
     nodes = pairs.select("x").union(pairs.select("y")).toDF("node").distinct()
     chosen = keep(reps.join(nodes, "node").select("node", "rep.*"))
     segments = texts.join(broadcast_if_small(chosen), ["_d", "_t"]).select("node", "text").mapInArrow(
-        _segments(levels, measure), "node long, fragment int, tokens array<long>"
+        lean(_segments(levels, measure)), "node long, fragment int, tokens array<long>"
     )
     return _links(pairs, keep(segments), measure)
 
@@ -386,14 +386,14 @@ def memberships(docs: DataFrame, measure: Measure = Measure(), bits: int = 64) -
     base = identified(docs)
     texts = base.select("_d", "_t", F.col("_row.text").alias("text"))
     levels = frequency_levels(docs, measure.gram)
-    rows = keep(texts.mapInArrow(_classes(levels, measure, bits), "_d long, _t long, node long, more long, n long"))
+    rows = keep(texts.mapInArrow(lean(_classes(levels, measure, bits)), "_d long, _t long, node long, more long, n long"))
     several = rows.groupBy("node").agg(F.min("more").alias("a"), F.max("more").alias("b")).where("a != b")
     shared = np.array([r.node for r in several.collect()], dtype=np.int64)  # of 10^10 classes a few
     if len(shared):
         rows = rows.withColumn("node", F.when(F.col("node").isin(shared.tolist()), F.col("more")).otherwise(F.col("node")))
-    postings = texts.select("text").mapInArrow(_postings(levels, measure, bits, shared), "token long, salt int, node long, n int")
+    postings = texts.select("text").mapInArrow(lean(_postings(levels, measure, bits, shared)), "token long, salt int, node long, n int")
     postings = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "node")
-    postings = keep(postings.mapInArrow(_shared, "token long, node long, n long, c long"))
+    postings = keep(postings.mapInArrow(lean(_shared), "token long, node long, n long, c long"))
     postings = keep(_thinned(postings, measure))
 
     reps = rows.where("n > 0").groupBy("node").agg(F.min(F.struct("_d", "_t")).alias("rep"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +56,21 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def lean(work: Callable) -> Callable:
+    """``work`` on batches, after which the Python worker gives back what memory it no longer uses:
+    Spark keeps idle workers for a minute, beside those of the next stage."""
+
+    def run(batches: Iterator) -> Iterator:
+        pa.set_memory_pool(pa.system_memory_pool())  # others keep what they freed
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a C library without it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # where the driver found this package by its own path only, workers look there too
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import Stretches, chunks
-from .shared import doc_id_of
+from .shared import doc_id_of, lean
 from .windows import Kind, Units, covered, repeated, runs
 
 LENGTH = 200
@@ -191,7 +191,7 @@ def report(docs: DataFrame) -> DataFrame:
     """One row per document: bytes, removed bytes and runs of them, digest of what is left."""
     found = removed_spans(docs).select(F.col("_row.text"), "spans", doc_id_of(F.col("_d")).alias("doc_id"))
     return found.mapInArrow(
-        _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        lean(_digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
 
@@ -200,6 +200,6 @@ def shortened(docs: DataFrame) -> DataFrame:
     cut in two loses its other bytes too; ``n_chars`` follows the text where it exists."""
     found = removed_spans(docs).select(F.col("_row.text"), "spans", "_row")
     row = found.schema["_row"].dataType
-    out = found.mapInArrow(_shortened, T.StructType([T.StructField("_text", T.StringType()), T.StructField("_row", row)]))
+    out = found.mapInArrow(lean(_shortened), T.StructType([T.StructField("_text", T.StringType()), T.StructField("_row", row)]))
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast(row["n_chars"].dataType) if "n_chars" in row.names else None}
     return out.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in row.names])

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import BYTE_VALUE, Chunk, Stretches, as_bytes, chunks, column, sliding_min, spread
-from .shared import identified, keep
+from .shared import identified, keep, lean
 
 #: Different pieces of one key that an index takes in; see step 4.
 MAX_PIECES = 2048
@@ -279,7 +279,7 @@ def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
     units that repeated windows cover; null where there are none. Stretches may overlap."""
     base = identified(docs)
     rows = base.select("_d", "_t", F.col("_row.text").alias("text")).mapInArrow(
-        _scan(kind), "key long, piece long, _d long, _t long, at long, n int, times int"
+        lean(_scan(kind)), "key long, piece long, _d long, _t long, at long, n int, times int"
     )
     shared_keys = rows.groupBy("key").agg(F.sum("times").alias("c")).where("c > 1").select("key")
     # only keys that occur twice are in the hashed side, once each
@@ -300,21 +300,21 @@ def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
             F.collect_list(F.struct("key", "at", "n", "c")).alias("wanted")
         )
         return base.join(wanted, ["_d", "_t"]).mapInArrow(
-            _cut(kind), "key long, _d long, _t long, at long, n int, c long, units binary"
+            lean(_cut(kind)), "key long, _d long, _t long, at long, n int, c long, units binary"
         )
 
     indexed = pieces(False).repartition("key").sortWithinPartitions("key")
-    found = found.union(indexed.mapInArrow(_indexed(kind), "_d long, _t long, at long, len long"))
+    found = found.union(indexed.mapInArrow(lean(_indexed(kind)), "_d long, _t long, at long, len long"))
     if not several.where("many").isEmpty():
         lists = ", ".join(f"{name}s array<long>" for name in PLACE)
         every = pieces(True).mapInArrow(
-            _windows(kind), f"key long, window long, c long, _d long, _t long, at long, {lists}, batch long"
+            lean(_windows(kind)), f"key long, window long, c long, _d long, _t long, at long, {lists}, batch long"
         )
         counts = every.groupBy("key", "window").agg(F.sum("c").alias("total"), F.min(_place()).alias("first"))
         again = every.drop(*PLACE).join(counts.where("total > 1"), ["key", "window"])
         # rows of a batch hold neighbouring windows of the same pieces
         again = again.select(*[name + "s" for name in PLACE], "first.*", "batch").repartition("batch")
-        found = found.union(again.mapInArrow(_joined(kind), "_d long, _t long, at long, len long"))
+        found = found.union(again.mapInArrow(lean(_joined(kind)), "_d long, _t long, at long, len long"))
     spans = found.groupBy("_d", "_t").agg(F.array_sort(F.collect_list(F.struct("at", "len"))).alias("spans"))
     return base.join(spans, ["_d", "_t"], "left")
 
