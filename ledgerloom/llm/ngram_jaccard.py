@@ -10,9 +10,11 @@ Equal sets are one class from the start. An n-gram of fewer than ``HOT`` documen
 classes together in pairs. One of more documents finds no candidates for a set with few enough such
 n-grams, as any partner shares others too; for the rest it names a leader for each band of sizes,
 the class with the fewest n-grams of its own, and the others are compared with that. Classes that
-turn out to be connected need no more comparisons among themselves. Those of different components
-that share frequent n-grams only must have many of them in common, so only n-grams early enough in
-both sets' order bring them together; no link between different components is lost.
+turn out to be connected need no more comparisons among themselves. Of the rest, those that share
+frequent n-grams with classes of other components are looked at once more by their whole sets: an
+n-gram that only one component has is in common with nobody there, and of the others a set's rarest
+bring it together with those that can still have enough in common behind them. So a text changed
+too much to link with its group meets nobody, and no link between different components is lost.
 
 How frequent an n-gram is comes from a count of all n-grams of all documents in ``2**BUCKETS``
 buckets; its size doesn't depend on the data, and as any order gives right results, a bucket that
@@ -67,6 +69,10 @@ class Measure:
         """SQL text: how many tokens of a set find its candidates."""
         return f"least({n}, {n} - {self.least(n)} + 1 + {self.extra(n)})"
 
+    def overlap(self) -> str:
+        """SQL text: the least intersection of linked sets of sizes ``nx`` and ``ny``."""
+        return f"({self.percent} * (nx + ny) + {99 + self.percent}) div {100 + self.percent}"
+
     def first_of(self, n: int) -> int:
         return min(n, n - -(-self.percent * n // 100) + 1 + n * 5 // 100)
 
@@ -299,9 +305,7 @@ def _thinned(postings: DataFrame, measure: Measure) -> DataFrame:
 
 def _needed(measure: Measure) -> str:
     """SQL text: the number of their first tokens that two linked sets have in common at least."""
-    percent = measure.percent
-    overlap = f"({percent} * (nx + ny) + {99 + percent}) div {100 + percent}"
-    return f"(least({measure.first('nx')} - nx, {measure.first('ny')} - ny) + {overlap})"
+    return f"(least({measure.first('nx')} - nx, {measure.first('ny')} - ny) + {measure.overlap()})"
 
 
 def _enough(measure: Measure) -> Column:
@@ -310,14 +314,7 @@ def _enough(measure: Measure) -> Column:
 
 
 def _side(postings: DataFrame, name: str) -> DataFrame:
-    kept = ["token", f"node AS {name}", f"n AS n{name}", f"hot AS h{name}"]
-    return postings.selectExpr(*kept, *[f"{c} AS {c[0]}{name}" for c in ("component", "rank") if c in postings.columns])
-
-
-def _possible(measure: Measure) -> Column:
-    """Whether two sets that meet at frequent tokens only can have as many of them in common as
-    linked sets do: no more than the one of them that has fewer."""
-    return _near(measure) & F.expr(f"least(hx, hy) >= {_needed(measure)}")
+    return postings.selectExpr("token", f"node AS {name}", f"n AS n{name}", f"hot AS h{name}")
 
 
 def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
@@ -343,17 +340,32 @@ def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
     return met.withColumn("met", F.expr("met + least(hx, hy)")).where(_enough(measure)).select("x", "y", "nx", "ny")
 
 
-def _left_over(postings: DataFrame, labels: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs of classes of different components that may link though they meet at frequent tokens
-    only. Linked ones have the needed number of those in common, so one of them at least comes in
-    both sets before the last that many less one; where none does, a pair is never made."""
+def _undecided(postings: DataFrame, labels: DataFrame, measure: Measure) -> DataFrame:
+    """Classes, with size and component, that may link with one of another component though they
+    meet at frequent tokens only. Linked ones have more of those in common than the smaller of them
+    has extra ones, so one at least comes in both sets before the last so many."""
     rows = postings.where("frequent").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     in_order = Window.partitionBy("node").orderBy("token")
-    rows = rows.withColumn("rank", F.row_number().over(in_order)).join(mixed.select("token"), "token", "left_semi")
-    x, y = (_side(rows, name) for name in "xy")
-    early = F.expr(f"rx <= hx - {_needed(measure)} + 1 AND ry <= hy - {_needed(measure)} + 1")
-    return x.join(y, (x.token == y.token) & F.expr("x < y AND cx != cy") & _possible(measure) & early).select("x", "y", "nx", "ny").distinct()
+    rows = rows.withColumn("rank", F.row_number().over(in_order)).where(f"rank <= hot - {measure.extra(measure.least('n'))}")
+    mixed = rows.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+    return rows.join(mixed.select("token"), "token", "left_semi").select("node", "n", "component").distinct()
+
+
+def _left_over(segments: DataFrame, undecided: DataFrame, measure: Measure) -> DataFrame:
+    """Pairs of undecided classes of different components that may link, by their whole sets.
+
+    Only tokens that several components have can be in common. In an order of all of these, the
+    rarest first, the first that linked sets have in common has as many of its set's, itself
+    included, from there on as the two must have in common."""
+    tokens = segments.select("node", F.explode("tokens").alias("token")).join(undecided, "node")
+    mixed = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("component").alias("a"), F.max("component").alias("b"))
+    rows = tokens.join(mixed.where("a < b").select("token", "c"), "token")
+    # a row of segments may come twice, which changes no dense rank
+    from_last = Window.partitionBy("node").orderBy(F.desc("c"), F.desc("token"))
+    rows = rows.withColumn("left", F.dense_rank().over(from_last)).where(f"left >= {measure.least('n')}")
+    x, y = (rows.selectExpr("token", f"node AS {k}", f"n AS n{k}", f"component AS c{k}", f"left AS l{k}") for k in "xy")
+    enough = F.expr(f"x < y AND cx != cy AND least(lx, ly) >= {measure.overlap()}")
+    return x.join(y, (x.token == y.token) & enough & _near(measure)).select("x", "y", "nx", "ny").distinct()
 
 
 def _links(pairs: DataFrame, segments: DataFrame, measure: Measure) -> DataFrame:
@@ -367,14 +379,12 @@ def _links(pairs: DataFrame, segments: DataFrame, measure: Measure) -> DataFrame
     return total.join(pairs, ["x", "y"]).where(linked).select("x", "y")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, levels: np.ndarray, measure: Measure) -> DataFrame:
-    """The pairs that link, by the whole sets of one document of each class."""
-    nodes = pairs.select("x").union(pairs.select("y")).toDF("node").distinct()
+def _whole_sets(nodes: DataFrame, texts: DataFrame, reps: DataFrame, levels: np.ndarray, measure: Measure) -> DataFrame:
+    """Segments of the sets of the given classes, from one document of each."""
     chosen = keep(reps.join(nodes, "node").select("node", "rep.*"))
-    segments = texts.join(broadcast_if_small(chosen), ["_d", "_t"]).select("node", "text").mapInArrow(
+    return keep(texts.join(broadcast_if_small(chosen), ["_d", "_t"]).select("node", "text").mapInArrow(
         lean(_segments(levels, measure)), "node long, fragment int, tokens array<long>"
-    )
-    return _links(pairs, keep(segments), measure)
+    ))
 
 
 def memberships(docs: DataFrame, measure: Measure = Measure(), bits: int = 64) -> DataFrame:
@@ -398,11 +408,15 @@ def memberships(docs: DataFrame, measure: Measure = Measure(), bits: int = 64) -
 
     reps = rows.where("n > 0").groupBy("node").agg(F.min(F.struct("_d", "_t")).alias("rep"))
     pairs = keep(_candidates(postings, measure))
-    links = keep(_verified(pairs, texts, reps, levels, measure))
+    paired = pairs.select("x").union(pairs.select("y")).toDF("node").distinct()
+    links = keep(_links(pairs, _whole_sets(paired, texts, reps, levels, measure), measure))
     labels = keep(components(links))
-    rest = keep(_left_over(postings, labels, measure).join(pairs, ["x", "y"], "left_anti"))
-    if not rest.isEmpty():
-        labels = keep(components(links.union(_verified(rest, texts, reps, levels, measure))))
+    undecided = keep(_undecided(postings, labels, measure))
+    if not undecided.isEmpty():
+        segments = _whole_sets(undecided.select("node"), texts, reps, levels, measure)
+        rest = keep(_left_over(segments, broadcast_if_small(undecided), measure).join(pairs, ["x", "y"], "left_anti"))
+        if not rest.isEmpty():
+            labels = keep(components(links.union(_links(rest, segments, measure))))
     least = F.min(F.when(F.col("_d") != NO_ID, F.col("_d"))).alias("least")
     classes = rows.where("n > 0").groupBy("node", "more").agg(least)
     # a class without links is a component of its own, told apart by both halves of its key

@@ -86,6 +86,26 @@ def test_texts_of_shared_phrases(make_docs):
     assert sorted(map(tuple, got), key=repr) == plain.components(rows)
 
 
+def test_texts_far_from_their_group_meet_few(make_docs, monkeypatch):
+    """Copies of one text with words of their own: those changed too much to link are not compared
+    with the rest of the group, whatever its size."""
+    rng, rows = random.Random(4), []
+    for i in range(240):
+        words = [f"b{j}" for j in range(300)]
+        for at in rng.sample(range(300), rng.choice([0, 1, 2, 9, 11, 13, 15])):
+            words[at] = f"d{i}x{at}"
+        rows.append((i, " ".join(words)))
+    # as in a large table, whose buckets hold so many n-grams that none stands out
+    monkeypatch.setattr(ngram_jaccard, "frequency_levels", lambda *_: np.zeros(1 << ngram_jaccard.BUCKETS, dtype=np.uint8))
+    links, compared = ngram_jaccard._links, []
+    monkeypatch.setattr(ngram_jaccard, "_links", lambda pairs, *more: compared.append(pairs.count()) or links(pairs, *more))
+    got = ngram_jaccard.memberships(make_docs(rows)).select("_d", "n", "_component").collect()
+    want = plain.components(rows)
+    assert len({c for _, _, c in want}) > 100
+    assert sorted(map(tuple, got), key=repr) == want
+    assert sum(compared) < 5 * len(rows)
+
+
 def test_report_and_empty_table(make_docs, rows):
     df = ngram_jaccard.report(make_docs(rows))
     assert df.columns == ["doc_id", "n_shingles", "component_id"]
