@@ -5,9 +5,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import lm_scores, quality_classifier, toxicity
+from ledgerloom.llm.arrays import chunks
 from ledgerloom.llm.quality_classifier import ABSTAIN, BAD, GOOD
 
 SF = "/root/testdata/sf{}"
@@ -181,6 +183,46 @@ def test_toxicity_edges(spark, make_docs):
     assert toxicity.report(make_docs([]), both).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_text(make_docs, spark, monkeypatch):
+    """Long texts too, and in several parts."""
+    monkeypatch.setattr(toxicity, "PART_ROWS", 60)
+    rows = [(i, f"w{i % 7} plain words here " * 1100 + "vile nasty thing " * 20 * (i % 3 == 0)) for i in range(300)]
+    assert min(len(t) for _, t in rows) > 20_000
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = toxicity.report(make_docs(rows), labels).where("held_out").collect()
+    assert min(r.score for r in got if r.doc_id % 3 == 0) > max(r.score for r in got if r.doc_id % 3)
+    assert all((r.doc_id % 3 == 0) == bool(r.predicted) == r.flagged for r in got)
+
+
+def test_packed_words_and_their_parameters_come_back():
+    chunk = next(chunks(pa.array(["one two", None, "", "three four five six"])))
+    first, second, begins = toxicity.word_rows(chunk)
+    packed = (first << toxicity.BITS | second)[first != toxicity.PAD]
+    again = toxicity.padded([packed[:2], packed[:0], packed[:0], packed[2:]])
+    for a, b in zip(again, (first, second, begins), strict=True):
+        assert a.tolist() == b.tolist()
+    arrays = toxicity.Cnn.untrained(4).parameters()
+    for a, b in zip(toxicity._unflat(toxicity._flat(arrays), arrays), arrays, strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_thresholds_match_a_plain_search(spark):
+    rng = np.random.default_rng(2)
+    rows = [(("en", "de", None, "xx")[i % 4 if i < 900 else 3], int(rng.random() < 0.3), float(rng.integers(1, 200)) / 200) for i in range(910)]
+    rows = [(lang, label, min(0.999, score * (0.6 + 0.5 * label))) for lang, label, score in rows if lang != "xx" or not label]
+    got = toxicity.thresholds(spark.createDataFrame(rows, "lang string, label int, score double"))
+
+    def plain(some):
+        scores = sorted({s for _, _, s in some}, reverse=True)
+        toxic = sum(label for _, label, _ in some)
+        f1 = [2 * sum(label for _, label, s in some if s >= t) / (sum(s >= t for _, _, s in some) + toxic) for t in scores]
+        at = f1.index(max(f1))
+        return (scores[at] + [*scores, 0.0][at + 1]) / 2
+
+    want = {None: plain(rows)} | {x: plain([r for r in rows if r[0] == x]) for x in ("en", "de")}
+    assert got == pytest.approx(want)
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_lm_scores_match_duckdb(spark, duck, monkeypatch, small):
     if small:  # many buckets and partitions
